@@ -1,7 +1,9 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each query derives its inputs from the driver's tables (``sources.fixtures``)
-and runs one operator or composite job over the whole tables.
+and runs one operator or composite job over the whole tables.  Queries that
+exercise a sink write under the session's shared checkpoint folder and read
+the result back.
 """
 
 from __future__ import annotations
@@ -9,13 +11,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mktpanel.operators import timeseries as ts
+from mktpanel.functions import fixed
+from mktpanel.functions import labels as L
+from mktpanel.functions import text as T
+from mktpanel.operators import aggregates as A
+from mktpanel.operators import filters as FL
+from mktpanel.operators import joins as J
+from mktpanel.operators import sampling as K
+from mktpanel.operators import timeseries as TS
+from mktpanel.operators import windows as W
+from mktpanel.plans import dataset as D
+from mktpanel.plans import evaluate as EV
+from mktpanel.plans import generate as G
+from mktpanel.plans import online as ON
+from mktpanel.plans import panel as P
+from mktpanel.plans import prompts as PR
+from mktpanel.plans import run as RUN
+from mktpanel.session import shared_dir
 from mktpanel.sources import fixtures as fx
+from mktpanel.sources import readers as R
+from mktpanel.sources import universe as U
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Parameters of the registered queries (the run defaults where one exists).
+SCAN_START, SCAN_END = "1996-01-01", "2000-01-01"
+CURDAY = "1999-06-16"
+ONLINE_WEEKS = fixed.DEFAULT_ONLINE_WEEKS
+MIN_WEEKS, MAX_WEEKS, RATIO = fixed.DEFAULT_MIN_WEEKS, fixed.DEFAULT_MAX_WEEKS, fixed.DEFAULT_TRAIN_RATIO
+TOP_K = fixed.NEWS_TOP_K
+SEED = 0
+
 
 def register(name: str):
     def deco(fn: Query) -> Query:
@@ -24,10 +53,497 @@ def register(name: str):
     return deco
 
 
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+# ------------------------------------------------------------ shared inputs
+
+
+def _weekly(spark, d):
+    return TS.weekly_returns(fx.prices(spark, d))
+
+
+def _panel(spark, d, with_basics=True) -> P.Panel:
+    return P.build_panel(fx.prices(spark, d), fx.news(spark, d), fx.basics_long(spark, d), with_basics=with_basics)
+
+
+def _prompts(spark, d) -> DataFrame:
+    return PR.build_prompts(_panel(spark, d), fx.profiles(spark, d), fx.index_members(spark, d), MIN_WEEKS, MAX_WEEKS)
+
+
+def _answers(spark, d) -> DataFrame:
+    return G.generate_answers(_prompts(spark, d), None, G.canned_generator)
+
+
+def _article_weeks(spark, d) -> DataFrame:
+    return J.attach_news(_weekly(spark, d), fx.news(spark, d))
+
+
+def _recent(spark, d) -> ON.RecentPanel:
+    return ON.recent_panel(fx.prices(spark, d), fx.news(spark, d), fx.index_members(spark, d), CURDAY, ONLINE_WEEKS)
+
+
+def _training(spark, d) -> DataFrame:
+    return D.training_rows(_answers(spark, d), _weekly(spark, d), fx.index_members(spark, d)).rows
+
+
+def _list_text(arr) -> F.Column:
+    return F.array_join(arr, "\n")
+
+
+# ------------------------------------------------------------ 2.1 sources and sinks
+
+
+@register("scan_prices")
+def q_scan_prices(spark, d):
+    path = shared_dir(spark, "prices")
+    fx.prices(spark, d).write.mode("overwrite").partitionBy("symbol").parquet(path)
+    return (R.read_prices(spark, path, SCAN_START, SCAN_END)
+             .select("symbol", "date", "close", "adj_close", "volume"))
+
+
+@register("unpivot_prices")
+def q_unpivot_prices(spark, d):
+    prices = fx.prices(spark, d)
+    symbols = sorted(r.symbol for r in fx.index_members(spark, d).select("symbol").collect())
+    return R.unpivot_prices(R.to_wide(prices, symbols)).select("symbol", "date", "close", "adj_close", "volume")
+
+
+@register("price_field")
+def q_price_field(spark, d):
+    return TS.price_field(fx.prices(spark, d)).select("symbol", "date", "price")
+
+
+@register("scan_news")
+def q_scan_news(spark, d):
+    path = shared_dir(spark, "news")
+    R.write_news(fx.news(spark, d), path)
+    return R.read_news(spark, path)
+
+
+@register("scan_basics")
+def q_scan_basics(spark, d):
+    path = shared_dir(spark, "basics")
+    R.basics_raw(fx.basics_long(spark, d)).write.mode("overwrite").json(path)
+    return R.read_basics_files(spark, path).select("symbol", "period", "metric", "v")
+
+
+@register("scan_profiles")
+def q_scan_profiles(spark, d):
+    path = shared_dir(spark, "profiles")
+    fx.profiles(spark, d).write.mode("overwrite").json(path)
+    return R.read_profiles(spark, path)
+
+
+@register("universe")
+def q_universe(spark, d):
+    return U.universe(fx.index_members(spark, d), "dow")
+
+
+@register("panel_roundtrip")
+def q_panel_roundtrip(spark, d):
+    path = shared_dir(spark, "panel")
+    panel = _panel(spark, d)
+    R.write_panel(panel.weeks, panel.news, path)
+    weeks, news = R.read_panel(spark, path)
+    return P.panel_summary(P.Panel(weeks, news))
+
+
+@register("answers_append")
+def q_answers_append(spark, d):
+    path = shared_dir(spark, "answers")
+    prompts = _prompts(spark, d)
+    R.append_answers(G.generate_answers(prompts, None, G.canned_generator), path)
+    # A second run finds every prompt answered and appends nothing.
+    R.append_answers(G.generate_answers(prompts, R.read_answers(spark, path), G.canned_generator), path)
+    return R.read_answers(spark, path).select("symbol", "week_idx", "answer")
+
+
+@register("dataset_roundtrip")
+def q_dataset_roundtrip(spark, d):
+    path = shared_dir(spark, "dataset")
+    R.write_dataset(D.create_dataset(_training(spark, d), RATIO), path)
+    return R.read_dataset(spark, path).select(*D.DATASET_COLUMNS)
+
+
+@register("evaluation_roundtrip")
+def q_evaluation_roundtrip(spark, d):
+    path = shared_dir(spark, "evaluation")
+    R.write_evaluation(EV.evaluation_report(_weekly(spark, d), _answers(spark, d)), path)
+    return R.read_evaluation(spark, path)
+
+
+@register("pending_symbols")
+def q_pending_symbols(spark, d):
+    # Symbols whose news is already acquired count as done.
+    return R.pending_symbols(fx.index_members(spark, d), fx.news(spark, d))
+
+
+# ------------------------------------------------------------ 2.2 filters
+
+
+@register("asset_class")
+def q_asset_class(spark, d):
+    w = _weekly(spark, d).select("symbol", "week_idx")
+    return U.with_asset_class(w, fx.index_members(spark, d))
+
+
+@register("drop_boilerplate")
+def q_drop_boilerplate(spark, d):
+    return FL.drop_boilerplate(fx.news(spark, d))
+
+
+@register("news_cutoff")
+def q_news_cutoff(spark, d):
+    return FL.news_cutoff(_recent(spark, d).news).select("symbol", "row_idx", "date", "headline", "summary")
+
+
+@register("usable_answers")
+def q_usable_answers(spark, d):
+    return FL.usable_answers(_answers(spark, d)).select("symbol", "week_idx", "answer")
+
+
+@register("empty_basics")
+def q_empty_basics(spark, d):
+    w = FL.with_empty_basics(_weekly(spark, d))
+    return w.select("symbol", "week_idx", "basics_period", F.size("basics_metrics").alias("n_metrics"))
+
+
+# ------------------------------------------------------------ 2.3 time series
+
+
+@register("weekly_close")
+def q_weekly_close(spark, d):
+    return TS.weekly_close(fx.prices(spark, d))
+
+
+@register("weekly_ffill")
+def q_weekly_ffill(spark, d):
+    return TS.weekly_ffill(TS.weekly_close(fx.prices(spark, d)))
+
+
+@register("pct_change")
+def q_pct_change(spark, d):
+    return TS.pct_change(TS.weekly_ffill(TS.weekly_close(fx.prices(spark, d))), "price")
+
+
+@register("interval_pairs")
+def q_interval_pairs(spark, d):
+    return TS.interval_pairs(TS.weekly_ffill(TS.weekly_close(fx.prices(spark, d))), date_col="week_end")
+
+
+@register("step_grid")
+def q_step_grid(spark, d):
+    return TS.symbol_steps(fx.index_members(spark, d), CURDAY, ONLINE_WEEKS)
+
+
+@register("asof_forward")
+def q_asof_forward(spark, d):
+    steps = TS.symbol_steps(fx.index_members(spark, d), CURDAY, ONLINE_WEEKS)
+    return TS.asof_forward(steps, fx.prices(spark, d), CURDAY, ONLINE_WEEKS)
+
+
+@register("recent_intervals")
+def q_recent_intervals(spark, d):
+    return TS.recent_intervals(fx.index_members(spark, d), fx.prices(spark, d), CURDAY, ONLINE_WEEKS)
+
+
+# ------------------------------------------------------------ 2.4 joins
+
+
+@register("news_interval_join")
+def q_news_interval_join(spark, d):
+    return _article_weeks(spark, d)
+
+
+def _basics_asof(spark, d, always):
+    w = J.attach_basics(_weekly(spark, d), A.pivot_basics(fx.basics_long(spark, d)), always=always)
+    return w.select("symbol", "week_idx", "end_date", "basics_period",
+                    T.metrics_lines("basics_metrics").alias("metrics_text"))
+
+
+@register("basics_asof_window")
+def q_basics_asof_window(spark, d):
+    return _basics_asof(spark, d, False)
+
+
+@register("basics_asof_always")
+def q_basics_asof_always(spark, d):
+    return _basics_asof(spark, d, True)
+
+
+@register("current_basics")
+def q_current_basics(spark, d):
+    cur = J.current_basics(A.pivot_basics(fx.basics_long(spark, d)), CURDAY)
+    return cur.select("symbol", "period", T.metrics_lines("metrics").alias("metrics_text"))
+
+
+@register("pair_by_key")
+def q_pair_by_key(spark, d):
+    return EV.prediction_pairs(_weekly(spark, d), _answers(spark, d), align="key")
+
+
+@register("pair_by_position")
+def q_pair_by_position(spark, d):
+    return EV.prediction_pairs(_weekly(spark, d), _answers(spark, d), align="position")
+
+
+@register("profile_join")
+def q_profile_join(spark, d):
+    w = J.attach_profile(_weekly(spark, d).select("symbol", "week_idx"), fx.profiles(spark, d))
+    return w.select("symbol", "week_idx", "name", "finnhubIndustry", "marketCapitalization")
+
+
+@register("pending_prompts")
+def q_pending_prompts(spark, d):
+    done = FL.usable_answers(_answers(spark, d))
+    return J.pending_prompts(_prompts(spark, d), done).select("symbol", "week_idx")
+
+
+# ------------------------------------------------------------ 2.5 aggregations
+
+
+@register("collect_news")
+def q_collect_news(spark, d):
+    lists = A.collect_news(_article_weeks(spark, d), k=TOP_K)
+    item = lambda e: F.concat_ws("|", e["date"], F.coalesce(e["headline"], F.lit("None")), e["summary"])
+    return lists.select("symbol", "week_idx", "n_news", _list_text(F.transform("news", item)).alias("news_list"))
+
+
+@register("pivot_basics")
+def q_pivot_basics(spark, d):
+    b = A.pivot_basics(fx.basics_long(spark, d))
+    return b.select("symbol", "period", T.metrics_lines("metrics").alias("metrics_text"))
+
+
+@register("evaluate")
+def q_evaluate(spark, d):
+    return A.evaluate(EV.prediction_pairs(_weekly(spark, d), _answers(spark, d)))
+
+
+@register("evaluate_with_average")
+def q_evaluate_with_average(spark, d):
+    return A.with_macro_average(A.evaluate(EV.prediction_pairs(_weekly(spark, d), _answers(spark, d), align="key")))
+
+
+# ------------------------------------------------------------ 2.6 windows
+
+
+def _headers(spark, d):
+    w = _weekly(spark, d)
+    return w.withColumn("header", T.week_header("symbol", "start_date", "end_date", "start_price", "end_price"))
+
+
+@register("history_window")
+def q_history_window(spark, d):
+    h = W.history_window(_headers(spark, d), "header", MAX_WEEKS)
+    return h.select("symbol", "week_idx", F.size("history").alias("n_history"),
+                    F.array_join("history", " | ").alias("history_text"))
+
+
+@register("history_gate")
+def q_history_gate(spark, d):
+    h = W.history_gate(W.history_window(_headers(spark, d), "header", MAX_WEEKS), MIN_WEEKS)
+    return h.select("symbol", "week_idx", F.size("history").alias("n_history"))
+
+
+@register("week_index")
+def q_week_index(spark, d):
+    f = TS.weekly_ffill(TS.weekly_close(fx.prices(spark, d)))
+    return TS.with_week_idx(f, order="week_end")
+
+
+@register("chrono_split")
+def q_chrono_split(spark, d):
+    return W.chrono_split(_weekly(spark, d).select("symbol", "week_idx"), RATIO)
+
+
+# ------------------------------------------------------------ 2.7 top-k, sampling
+
+
+@register("top_news")
+def q_top_news(spark, d):
+    return K.top_news(_article_weeks(spark, d), TOP_K).select("symbol", "week_idx", "rn", "date", "headline", "summary")
+
+
+@register("sample_news")
+def q_sample_news(spark, d):
+    s = K.sample_news(_article_weeks(spark, d), TOP_K, SEED)
+    return s.select("symbol", "week_idx", "rn", "date", "headline", "summary")
+
+
+# ------------------------------------------------------------ 2.8 set operations
+
+
+@register("union_symbols")
+def q_union_symbols(spark, d):
+    prices = fx.prices(spark, d)
+    members = fx.index_members(spark, d)
+    dow = members.where(F.col("index_name") == "dow").select("symbol")
+    a = TS.weekly_returns(prices.join(F.broadcast(dow), "symbol", "left_semi"))
+    b = TS.weekly_returns(prices.join(F.broadcast(dow), "symbol", "left_anti"))
+    return a.unionByName(b)
+
+
+# ------------------------------------------------------------ 2.9 column functions
+
+
+@register("bin_label")
+def q_bin_label(spark, d):
+    daily = TS.price_field(fx.prices(spark, d))
+    r = TS.pct_change(daily, "price", order="date", out_col="ret")
+    return r.select("symbol", "date", "ret", L.bin_label("ret").alias("bin_label"))
+
+
+@register("bin_phrase")
+def q_bin_phrase(spark, d):
+    w = _weekly(spark, d)
+    return w.select("symbol", "week_idx", "bin_label", L.bin_phrase("bin_label", "v1").alias("phrase_v1"),
+                    L.bin_phrase("bin_label", "v2").alias("phrase_v2"))
+
+
+@register("week_header")
+def q_week_header(spark, d):
+    w = _weekly(spark, d)
+    args = ("symbol", "start_date", "end_date", "start_price", "end_price")
+    return w.select("symbol", "week_idx", T.week_header(*args, variant="later").alias("header_later"),
+                    T.week_header(*args, variant="earlier").alias("header_earlier"))
+
+
+@register("news_text")
+def q_news_text(spark, d):
+    blocks = PR.week_blocks(_panel(spark, d))
+    return blocks.select("symbol", "week_idx", "news_text")
+
+
+@register("basics_text")
+def q_basics_text(spark, d):
+    w = J.attach_basics(_weekly(spark, d), A.pivot_basics(fx.basics_long(spark, d)), always=True)
+    return w.select("symbol", "week_idx", T.basics_text("symbol", "basics_period", "basics_metrics").alias("basics_text"))
+
+
+@register("basics_highlights")
+def q_basics_highlights(spark, d):
+    w = J.attach_basics(_weekly(spark, d), A.pivot_basics(fx.basics_long(spark, d)))
+    return w.select("symbol", "week_idx", T.basics_highlights("basics_period", "basics_metrics").alias("highlights"))
+
+
+@register("basics_highlights_list")
+def q_basics_highlights_list(spark, d):
+    w = J.attach_basics(_weekly(spark, d), A.pivot_basics(fx.basics_long(spark, d)), always=True)
+    h = T.basics_highlights_list("basics_metrics")
+    return w.select("symbol", "week_idx", F.size(h).alias("n_highlights"), _list_text(h).alias("highlights"))
+
+
+@register("company_intro")
+def q_company_intro(spark, d):
+    p = fx.profiles(spark, d)
+    return p.select("symbol", T.company_intro(variant="later").alias("intro_later"),
+                    T.company_intro(variant="earlier").alias("intro_earlier"))
+
+
+@register("crypto_intro")
+def q_crypto_intro(spark, d):
+    return fx.profiles(spark, d).select("symbol", T.crypto_intro().alias("intro"))
+
+
+@register("system_prompt")
+def q_system_prompt(spark, d):
+    m = fx.index_members(spark, d)
+    s = T.system_prompt("asset_class")
+    return m.select("symbol", s.alias("system_prompt"), T.training_system_prompt(s).alias("training_system_prompt"))
+
+
+@register("extract_period_label")
+def q_extract_period_label(spark, d):
+    p = D.old_form_prompts(_weekly(spark, d))
+    period, label, matched = T.extract_period_label("prompt")
+    return p.select("symbol", "week_idx", period.alias("period"), label.alias("label"), matched.alias("matched"))
+
+
+@register("rewrite_request")
+def q_rewrite_request(spark, d):
+    p = D.old_form_prompts(_weekly(spark, d))
+    period, _, matched = T.extract_period_label("prompt")
+    p = p.where(matched).withColumn("period", period)
+    return p.select("symbol", "week_idx", T.rewrite_request("prompt", "symbol", "period").alias("prompt"))
+
+
+@register("inject_label")
+def q_inject_label(spark, d):
+    a = _answers(spark, d).join(_weekly(spark, d).select("symbol", "week_idx", "bin_label"), ["symbol", "week_idx"])
+    a = a.where(F.col("bin_label").isNotNull())
+    return a.select("symbol", "week_idx", T.inject_label("answer", L.bin_phrase("bin_label")).alias("answer"))
+
+
+@register("strip_prompt")
+def q_strip_prompt(spark, d):
+    return _answers(spark, d).select("symbol", "week_idx", "answer")
+
+
+@register("predicted_label")
+def q_predicted_label(spark, d):
+    a = _answers(spark, d)
+    return a.select("symbol", "week_idx", "answer", L.predicted_label("answer").alias("pred_label"))
+
+
+# ------------------------------------------------------------ 2.10 composite jobs
+
+
 @register("weekly_returns")
 def q_weekly_returns(spark, d):
-    return ts.weekly_returns(fx.prices(spark, d))
+    return _weekly(spark, d)
 
 
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+@register("build_panel")
+def q_build_panel(spark, d):
+    return P.panel_summary(_panel(spark, d))
+
+
+@register("build_prompts")
+def q_build_prompts(spark, d):
+    return _prompts(spark, d).select("symbol", "week_idx", "start_date", "end_date", "prompt")
+
+
+@register("generate_answers")
+def q_generate_answers(spark, d):
+    return _answers(spark, d)
+
+
+@register("training_rows")
+def q_training_rows(spark, d):
+    return _training(spark, d)
+
+
+@register("create_dataset")
+def q_create_dataset(spark, d):
+    return D.create_dataset(_training(spark, d), RATIO)
+
+
+@register("evaluation_report")
+def q_evaluation_report(spark, d):
+    return EV.evaluation_report(_weekly(spark, d), _answers(spark, d))
+
+
+@register("recent_panel")
+def q_recent_panel(spark, d):
+    rp = _recent(spark, d)
+    n = rp.news.groupBy("symbol", "row_idx").agg(F.count(F.lit(1)).alias("n_news"))
+    out = rp.intervals.join(n, ["symbol", "row_idx"], "left")
+    return out.select("symbol", "row_idx", "start_date", "end_date", "start_price", "end_price",
+                      F.coalesce("n_news", F.lit(0)).alias("n_news"))
+
+
+@register("online_prompts")
+def q_online_prompts(spark, d):
+    return ON.online_prompts(_recent(spark, d), fx.profiles(spark, d), fx.basics_long(spark, d),
+                             fx.index_members(spark, d), CURDAY, with_basics=True, seed=SEED)
+
+
+@register("full_run")
+def q_full_run(spark, d):
+    base = shared_dir(spark, "run")
+    return RUN.run_all(spark, fx.prices(spark, d), fx.news(spark, d), fx.basics_long(spark, d),
+                       fx.profiles(spark, d), fx.index_members(spark, d), base, G.canned_generator,
+                       index_name="dow", min_weeks=MIN_WEEKS, max_weeks=MAX_WEEKS, train_ratio=RATIO)
