@@ -76,8 +76,9 @@ def article_text(headline, summary, variant: str = "later") -> Column:
 
 def news_text(items, fallback: str = fixed.NO_NEWS_LATER) -> Column:
     """Join article texts by newline, or the fallback when there are none."""
-    arr = _c(items)
-    return F.when(F.coalesce(F.size(arr), F.lit(0)) <= 0, F.lit(fallback)).otherwise(F.array_join(arr, "\n"))
+    # Items are never empty strings, so an empty join means no items; the
+    # array is then evaluated once.
+    return F.coalesce(F.nullif(F.array_join(_c(items), "\n"), F.lit("")), F.lit(fallback))
 
 
 def metrics_lines(metrics) -> Column:
@@ -116,9 +117,10 @@ def basics_highlights(period, metrics) -> Column:
     margin > 0.2, debt/equity > 2, net margin > 0.2, ROA > 0.1 in that order; a present
     NULL value ends the list with "Financial summary unavailable."."""
     items, stop = _highlight_items(metrics, fixed.HIGHLIGHTS_UTILS, stop_on_null=True)
-    arr = F.array_compact(F.array(*items, F.when(stop, F.lit(fixed.HIGHLIGHTS_UNAVAILABLE))))
-    text = (F.when(F.size(arr) == 0, F.lit(fixed.HIGHLIGHTS_NONE))
-             .otherwise(F.concat(F.lit(fixed.HIGHLIGHTS_HEAD), F.array_join(arr, ", "))))
+    # concat_ws skips NULL items; an empty result means no highlight, so the
+    # list is built once.
+    joined = F.concat_ws(", ", *items, F.when(stop, F.lit(fixed.HIGHLIGHTS_UNAVAILABLE)))
+    text = F.coalesce(F.concat(F.lit(fixed.HIGHLIGHTS_HEAD), F.nullif(joined, F.lit(""))), F.lit(fixed.HIGHLIGHTS_NONE))
     return F.when(_c(period).isNull(), F.lit(fixed.HIGHLIGHTS_EMPTY)).otherwise(text)
 
 
@@ -202,12 +204,13 @@ def inst_wrap(system, prompt) -> Column:
                     _c(prompt), F.lit(fixed.E_INST))
 
 
-# Characters Python's str.strip() removes (str.isspace).
-_PY_SPACE = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Characters Python's str.strip() removes: every code point with str.isspace().
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def py_strip(s) -> Column:
-    return F.regexp_replace(_c(s), F.lit(f"^{_PY_SPACE}+|{_PY_SPACE}+$"), F.lit(""))
+    """Python ``str.strip()``: remove Python whitespace characters at both ends."""
+    return F.btrim(_c(s), F.lit(PY_WHITESPACE))
 
 
 def strip_prompt(generated, full_prompt) -> Column:

@@ -11,20 +11,24 @@ from mktpanel.operators.sampling import top_news
 REPORT_COLUMNS = ["symbol", "samples", "directional_accuracy", "full_accuracy", "missing_predictions"]
 
 
-def collect_news(week_articles: DataFrame, k: int, by=("symbol", "week_idx"), text_col: str | None = None) -> DataFrame:
+def collect_news(week_articles: DataFrame, k: int, by=("symbol", "week_idx"), text_col: str | None = None,
+                 with_count: bool = True) -> DataFrame:
     """Ordered article list per group (A1): the first ``k`` in (date, headline, summary) order.
 
     Lists are always bounded: ``k`` is required and the cut happens map-side
     before the shuffle (see ``sampling.top_news``), so no group is gathered
     whole.  The complete set of articles stays in long form, one row each.
-    Returns ``(by..., news array<struct<date, headline, summary[, text]>>, n_news)``.
+    Returns ``(by..., news array<struct<date, headline, summary[, text]>>[, n_news])``;
+    the total count is a separate partial aggregate, skipped with ``with_count=False``.
     """
     fields = ["date", "headline", "summary"] + ([text_col] if text_col else [])
-    n = week_articles.groupBy(*by).agg(F.count(F.lit(1)).alias("n_news"))
     top = top_news(week_articles, k=k, by=by)
     lists = (top.groupBy(*by)
                 .agg(F.array_sort(F.collect_list(F.struct("rn", *fields))).alias("_l"))
                 .select(*by, F.transform("_l", lambda e: F.struct(*[e[f].alias(f) for f in fields])).alias("news")))
+    if not with_count:
+        return lists
+    n = week_articles.groupBy(*by).agg(F.count(F.lit(1)).alias("n_news"))
     return n.join(lists, list(by))
 
 

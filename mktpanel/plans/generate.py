@@ -24,24 +24,38 @@ from mktpanel.operators.joins import pending_prompts
 BatchFn = Callable[[pd.DataFrame], "pd.Series | list"]
 GeneratorFactory = Callable[[], BatchFn]
 
-GEN_SCHEMA = "symbol string, week_idx int, prompt string, full_prompt string, generated string"
+GEN_SCHEMA = "symbol string, week_idx int, prompt string, tail string"
 
 
 def _run(factory: GeneratorFactory, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Call the generator per Arrow batch; return the prompt and the text after the full prompt.
+
+    Only keys and the full prompt enter Python and only the prompt and the
+    generated continuation leave it.
+    """
     fn = factory()
     for pdf in batches:
+        feed = pdf[["symbol", "week_idx", "full_prompt"]]
         try:
-            out = list(fn(pdf))
+            out = list(fn(feed))
             if len(out) != len(pdf):
                 raise ValueError("generator returned a different number of texts")
         except Exception:  # noqa: BLE001 - a failed batch is retried per row
             out = []
             for i in range(len(pdf)):
                 try:
-                    out.append(list(fn(pdf.iloc[i:i + 1]))[0])
+                    out.append(list(fn(feed.iloc[i:i + 1]))[0])
                 except Exception:  # noqa: BLE001 - failed row -> empty answer
                     out.append(None)
-        yield pdf.assign(generated=pd.Series(out, index=pdf.index, dtype=object))
+        full = pdf["full_prompt"].tolist()
+        starts = pdf["prompt_start"].tolist()
+        yield pd.DataFrame({
+            "symbol": pdf["symbol"].values,
+            "week_idx": pdf["week_idx"].values,
+            "prompt": [f[s:] for f, s in zip(full, starts)],
+            # text after the full prompt, as the model echoes the prompt first
+            "tail": [None if g is None else g[len(f):] for g, f in zip(out, full)],
+        })
 
 
 def generate_answers(prompts: DataFrame, answers: DataFrame | None, factory: GeneratorFactory,
@@ -50,17 +64,19 @@ def generate_answers(prompts: DataFrame, answers: DataFrame | None, factory: Gen
 
     ``prompts`` needs ``symbol, week_idx, asset_class, prompt``.  The full
     prompt is the system prompt for the asset class, a blank line, then the
-    prompt; the answer is the generated text after it, stripped.
-    ``partitions`` sets how many generator tasks run in parallel.
+    prompt; the answer is the generated text after it, stripped (C18), and a
+    failed call gives ``''``.  ``partitions`` sets how many generator tasks
+    run in parallel.
     """
     todo = prompts if answers is None else pending_prompts(prompts, answers)
-    todo = todo.select("symbol", "week_idx", "prompt",
-                       F.concat(T.system_prompt("asset_class"), F.lit("\n\n"), F.col("prompt")).alias("full_prompt"))
+    system = T.system_prompt("asset_class")
+    todo = todo.select("symbol", "week_idx",
+                       (F.length(system) + 2).alias("prompt_start"),
+                       F.concat(system, F.lit("\n\n"), F.col("prompt")).alias("full_prompt"))
     if partitions:
         todo = todo.repartition(partitions, "symbol", "week_idx")
     gen = todo.mapInPandas(lambda it: _run(factory, it), GEN_SCHEMA)
-    return gen.select("symbol", "week_idx", "prompt",
-                      T.strip_prompt("generated", "full_prompt").alias("answer"))
+    return gen.select("symbol", "week_idx", "prompt", F.coalesce(T.py_strip("tail"), F.lit("")).alias("answer"))
 
 
 # ------------------------------------------------------------ test generator

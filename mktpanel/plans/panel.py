@@ -11,6 +11,7 @@ from mktpanel.operators.aggregates import pivot_basics
 from mktpanel.operators.filters import with_empty_basics
 from mktpanel.operators.joins import attach_basics, attach_news
 from mktpanel.operators.timeseries import weekly_returns
+from mktpanel.session import materialize
 
 __all__ = ["Panel", "weekly_returns", "build_panel", "panel_summary"]
 
@@ -22,20 +23,30 @@ class Panel(NamedTuple):
     weekly_return, bin_label, basics_period, basics_metrics.
     ``news``: symbol, week_idx, start_date, end_date, date, headline, summary
     (one row per article and week it falls in; a week may have none).
+    ``weekly``: the weekly return rows alone (materialised), for consumers that
+    need no fundamentals.
     """
     weeks: DataFrame
     news: DataFrame
+    weekly: DataFrame | None = None
 
 
 def build_panel(prices: DataFrame, news: DataFrame, basics_long: DataFrame | None,
-                with_basics: bool = True, always: bool = False) -> Panel:
-    """Weekly returns joined with news by week and fundamentals as of each week."""
-    weeks = weekly_returns(prices)
+                with_basics: bool = True, always: bool = False, materialize_weeks: bool = True) -> Panel:
+    """Weekly returns joined with news by week and fundamentals as of each week.
+
+    The weekly table (one row per symbol-week, small) is written once to the
+    shared checkpoint folder when ``materialize_weeks`` is set, so the price
+    scan and its aggregates run once although the table feeds both joins.
+    """
+    weekly = weekly_returns(prices)
+    if materialize_weeks:
+        weekly = materialize(weekly, "weekly")
     if with_basics and basics_long is not None:
-        weeks = attach_basics(weeks, pivot_basics(basics_long), always=always)
+        weeks = attach_basics(weekly, pivot_basics(basics_long), always=always)
     else:
-        weeks = with_empty_basics(weeks)
-    return Panel(weeks, attach_news(weeks.select("symbol", "week_idx", "start_date", "end_date"), news))
+        weeks = with_empty_basics(weekly)
+    return Panel(weeks, attach_news(weekly.select("symbol", "week_idx", "start_date", "end_date"), news), weekly)
 
 
 def panel_summary(panel: Panel) -> DataFrame:

@@ -25,7 +25,7 @@ def week_blocks(panel: Panel, k: int = fixed.NEWS_TOP_K) -> DataFrame:
     """Panel weeks + ``header``, ``news_text`` and ``block`` (header, newline, news)."""
     arts = drop_boilerplate(panel.news, fixed.BOILERPLATE_SHORT)
     arts = arts.withColumn("text", T.article_text("headline", "summary", "later"))
-    lists = collect_news(arts, k=k, text_col="text")
+    lists = collect_news(arts, k=k, text_col="text", with_count=False)
     weeks = panel.weeks.join(lists, ["symbol", "week_idx"], "left")
     header = T.week_header("symbol", "start_date", "end_date", "start_price", "end_price", "later")
     ntext = T.news_text(F.transform("news", lambda e: e["text"]), fixed.NO_NEWS_LATER)

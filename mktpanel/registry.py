@@ -60,32 +60,72 @@ def queries() -> dict[str, Query]:
 # ------------------------------------------------------------ shared inputs
 
 
-def _weekly(spark, d):
-    return TS.weekly_returns(fx.prices(spark, d))
+class Ctx:
+    """Inputs of one query call, each built at most once and shared by its branches."""
 
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
+        self._cache: dict = {}
 
-def _panel(spark, d, with_basics=True) -> P.Panel:
-    return P.build_panel(fx.prices(spark, d), fx.news(spark, d), fx.basics_long(spark, d), with_basics=with_basics)
+    def _get(self, key, make):
+        if key not in self._cache:
+            self._cache[key] = make()
+        return self._cache[key]
 
+    @property
+    def prices(self):
+        return self._get("prices", lambda: fx.prices(self.spark, self.d))
 
-def _prompts(spark, d) -> DataFrame:
-    return PR.build_prompts(_panel(spark, d), fx.profiles(spark, d), fx.index_members(spark, d), MIN_WEEKS, MAX_WEEKS)
+    @property
+    def news(self):
+        return self._get("news", lambda: fx.news(self.spark, self.d))
 
+    @property
+    def basics_long(self):
+        return self._get("basics_long", lambda: fx.basics_long(self.spark, self.d))
 
-def _answers(spark, d) -> DataFrame:
-    return G.generate_answers(_prompts(spark, d), None, G.canned_generator)
+    @property
+    def profiles(self):
+        return self._get("profiles", lambda: fx.profiles(self.spark, self.d))
 
+    @property
+    def members(self):
+        return self._get("members", lambda: fx.index_members(self.spark, self.d))
 
-def _article_weeks(spark, d) -> DataFrame:
-    return J.attach_news(_weekly(spark, d), fx.news(spark, d))
+    @property
+    def panel(self) -> P.Panel:
+        return self._get("panel", lambda: P.build_panel(self.prices, self.news, self.basics_long))
+
+    @property
+    def weeks(self):
+        """Weekly return rows (from the materialised panel when one is built)."""
+        return self.panel.weekly
+
+    @property
+    def prompts(self):
+        return self._get("prompts", lambda: PR.build_prompts(self.panel, self.profiles, self.members,
+                                                              MIN_WEEKS, MAX_WEEKS))
+
+    @property
+    def answers(self):
+        return self._get("answers", lambda: G.generate_answers(self.prompts, None, G.canned_generator))
 
+    @property
+    def recent(self) -> ON.RecentPanel:
+        return self._get("recent", lambda: ON.recent_panel(self.prices, self.news, self.members, CURDAY,
+                                                            ONLINE_WEEKS))
 
-def _recent(spark, d) -> ON.RecentPanel:
-    return ON.recent_panel(fx.prices(spark, d), fx.news(spark, d), fx.index_members(spark, d), CURDAY, ONLINE_WEEKS)
+    @property
+    def training(self):
+        return self._get("training", lambda: D.training_rows(self.answers, self.weeks, self.members).rows)
 
 
-def _training(spark, d) -> DataFrame:
-    return D.training_rows(_answers(spark, d), _weekly(spark, d), fx.index_members(spark, d)).rows
+def _weekly(spark, d):
+    return TS.weekly_returns(fx.prices(spark, d))
+
+
+def _article_weeks(spark, d) -> DataFrame:
+    return J.attach_news(_weekly(spark, d), fx.news(spark, d))
 
 
 def _list_text(arr) -> F.Column:
@@ -144,7 +184,7 @@ def q_universe(spark, d):
 @register("panel_roundtrip")
 def q_panel_roundtrip(spark, d):
     path = shared_dir(spark, "panel")
-    panel = _panel(spark, d)
+    panel = Ctx(spark, d).panel
     R.write_panel(panel.weeks, panel.news, path)
     weeks, news = R.read_panel(spark, path)
     return P.panel_summary(P.Panel(weeks, news))
@@ -153,7 +193,7 @@ def q_panel_roundtrip(spark, d):
 @register("answers_append")
 def q_answers_append(spark, d):
     path = shared_dir(spark, "answers")
-    prompts = _prompts(spark, d)
+    prompts = Ctx(spark, d).prompts
     R.append_answers(G.generate_answers(prompts, None, G.canned_generator), path)
     # A second run finds every prompt answered and appends nothing.
     R.append_answers(G.generate_answers(prompts, R.read_answers(spark, path), G.canned_generator), path)
@@ -163,14 +203,15 @@ def q_answers_append(spark, d):
 @register("dataset_roundtrip")
 def q_dataset_roundtrip(spark, d):
     path = shared_dir(spark, "dataset")
-    R.write_dataset(D.create_dataset(_training(spark, d), RATIO), path)
+    R.write_dataset(D.create_dataset(Ctx(spark, d).training, RATIO), path)
     return R.read_dataset(spark, path).select(*D.DATASET_COLUMNS)
 
 
 @register("evaluation_roundtrip")
 def q_evaluation_roundtrip(spark, d):
     path = shared_dir(spark, "evaluation")
-    R.write_evaluation(EV.evaluation_report(_weekly(spark, d), _answers(spark, d)), path)
+    c = Ctx(spark, d)
+    R.write_evaluation(EV.evaluation_report(c.weeks, c.answers), path)
     return R.read_evaluation(spark, path)
 
 
@@ -196,12 +237,12 @@ def q_drop_boilerplate(spark, d):
 
 @register("news_cutoff")
 def q_news_cutoff(spark, d):
-    return FL.news_cutoff(_recent(spark, d).news).select("symbol", "row_idx", "date", "headline", "summary")
+    return FL.news_cutoff(Ctx(spark, d).recent.news).select("symbol", "row_idx", "date", "headline", "summary")
 
 
 @register("usable_answers")
 def q_usable_answers(spark, d):
-    return FL.usable_answers(_answers(spark, d)).select("symbol", "week_idx", "answer")
+    return FL.usable_answers(Ctx(spark, d).answers).select("symbol", "week_idx", "answer")
 
 
 @register("empty_basics")
@@ -281,12 +322,14 @@ def q_current_basics(spark, d):
 
 @register("pair_by_key")
 def q_pair_by_key(spark, d):
-    return EV.prediction_pairs(_weekly(spark, d), _answers(spark, d), align="key")
+    c = Ctx(spark, d)
+    return EV.prediction_pairs(c.weeks, c.answers, align="key")
 
 
 @register("pair_by_position")
 def q_pair_by_position(spark, d):
-    return EV.prediction_pairs(_weekly(spark, d), _answers(spark, d), align="position")
+    c = Ctx(spark, d)
+    return EV.prediction_pairs(c.weeks, c.answers, align="position")
 
 
 @register("profile_join")
@@ -297,8 +340,8 @@ def q_profile_join(spark, d):
 
 @register("pending_prompts")
 def q_pending_prompts(spark, d):
-    done = FL.usable_answers(_answers(spark, d))
-    return J.pending_prompts(_prompts(spark, d), done).select("symbol", "week_idx")
+    c = Ctx(spark, d)
+    return J.pending_prompts(c.prompts, FL.usable_answers(c.answers)).select("symbol", "week_idx")
 
 
 # ------------------------------------------------------------ 2.5 aggregations
@@ -319,12 +362,14 @@ def q_pivot_basics(spark, d):
 
 @register("evaluate")
 def q_evaluate(spark, d):
-    return A.evaluate(EV.prediction_pairs(_weekly(spark, d), _answers(spark, d)))
+    c = Ctx(spark, d)
+    return A.evaluate(EV.prediction_pairs(c.weeks, c.answers))
 
 
 @register("evaluate_with_average")
 def q_evaluate_with_average(spark, d):
-    return A.with_macro_average(A.evaluate(EV.prediction_pairs(_weekly(spark, d), _answers(spark, d), align="key")))
+    c = Ctx(spark, d)
+    return A.with_macro_average(A.evaluate(EV.prediction_pairs(c.weeks, c.answers, align="key")))
 
 
 # ------------------------------------------------------------ 2.6 windows
@@ -413,7 +458,7 @@ def q_week_header(spark, d):
 
 @register("news_text")
 def q_news_text(spark, d):
-    blocks = PR.week_blocks(_panel(spark, d))
+    blocks = PR.week_blocks(Ctx(spark, d).panel)
     return blocks.select("symbol", "week_idx", "news_text")
 
 
@@ -472,19 +517,20 @@ def q_rewrite_request(spark, d):
 
 @register("inject_label")
 def q_inject_label(spark, d):
-    a = _answers(spark, d).join(_weekly(spark, d).select("symbol", "week_idx", "bin_label"), ["symbol", "week_idx"])
+    c = Ctx(spark, d)
+    a = c.answers.join(c.weeks.select("symbol", "week_idx", "bin_label"), ["symbol", "week_idx"])
     a = a.where(F.col("bin_label").isNotNull())
     return a.select("symbol", "week_idx", T.inject_label("answer", L.bin_phrase("bin_label")).alias("answer"))
 
 
 @register("strip_prompt")
 def q_strip_prompt(spark, d):
-    return _answers(spark, d).select("symbol", "week_idx", "answer")
+    return Ctx(spark, d).answers.select("symbol", "week_idx", "answer")
 
 
 @register("predicted_label")
 def q_predicted_label(spark, d):
-    a = _answers(spark, d)
+    a = Ctx(spark, d).answers
     return a.select("symbol", "week_idx", "answer", L.predicted_label("answer").alias("pred_label"))
 
 
@@ -498,37 +544,38 @@ def q_weekly_returns(spark, d):
 
 @register("build_panel")
 def q_build_panel(spark, d):
-    return P.panel_summary(_panel(spark, d))
+    return P.panel_summary(Ctx(spark, d).panel)
 
 
 @register("build_prompts")
 def q_build_prompts(spark, d):
-    return _prompts(spark, d).select("symbol", "week_idx", "start_date", "end_date", "prompt")
+    return Ctx(spark, d).prompts.select("symbol", "week_idx", "start_date", "end_date", "prompt")
 
 
 @register("generate_answers")
 def q_generate_answers(spark, d):
-    return _answers(spark, d)
+    return Ctx(spark, d).answers
 
 
 @register("training_rows")
 def q_training_rows(spark, d):
-    return _training(spark, d)
+    return Ctx(spark, d).training
 
 
 @register("create_dataset")
 def q_create_dataset(spark, d):
-    return D.create_dataset(_training(spark, d), RATIO)
+    return D.create_dataset(Ctx(spark, d).training, RATIO)
 
 
 @register("evaluation_report")
 def q_evaluation_report(spark, d):
-    return EV.evaluation_report(_weekly(spark, d), _answers(spark, d))
+    c = Ctx(spark, d)
+    return EV.evaluation_report(c.weeks, c.answers)
 
 
 @register("recent_panel")
 def q_recent_panel(spark, d):
-    rp = _recent(spark, d)
+    rp = Ctx(spark, d).recent
     n = rp.news.groupBy("symbol", "row_idx").agg(F.count(F.lit(1)).alias("n_news"))
     out = rp.intervals.join(n, ["symbol", "row_idx"], "left")
     return out.select("symbol", "row_idx", "start_date", "end_date", "start_price", "end_price",
@@ -537,8 +584,8 @@ def q_recent_panel(spark, d):
 
 @register("online_prompts")
 def q_online_prompts(spark, d):
-    return ON.online_prompts(_recent(spark, d), fx.profiles(spark, d), fx.basics_long(spark, d),
-                             fx.index_members(spark, d), CURDAY, with_basics=True, seed=SEED)
+    c = Ctx(spark, d)
+    return ON.online_prompts(c.recent, c.profiles, c.basics_long, c.members, CURDAY, with_basics=True, seed=SEED)
 
 
 @register("full_run")

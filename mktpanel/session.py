@@ -72,3 +72,17 @@ def is_local_path(path: str) -> bool:
 def ensure_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Used at stage boundaries whose result is small and read by several
+    branches (the weekly panel), so upstream scans run once and the lineage
+    is cut.  Files in the shared folder survive executor loss, and the
+    read-back table carries real size statistics for the optimizer.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
