@@ -67,7 +67,15 @@ def _sorted_mean(c: str) -> F.Column:
 
 
 def with_macro_average(report: DataFrame, label: str = "Average") -> DataFrame:
-    """Append the mean of the per-symbol rows (A4); a macro average, not a rollup."""
-    avg = report.agg(*[_sorted_mean(c).alias(c) for c in REPORT_COLUMNS[1:]])
-    avg = avg.where(F.col("samples").isNotNull()).select(F.lit(label).alias("symbol"), *REPORT_COLUMNS[1:])
-    return report.unionByName(avg)
+    """Append the mean of the per-symbol rows (A4); a macro average, not a micro one.
+
+    One pass: ``rollup("symbol")`` over the per-symbol report.  Each symbol
+    group holds its single row (its mean is the value itself) and the grand
+    total averages the per-symbol values, so the report's upstream work (and
+    any generation feeding it) runs once.
+    """
+    g = report.rollup("symbol").agg(*[_sorted_mean(c).alias(c) for c in REPORT_COLUMNS[1:]],
+                                    F.grouping("symbol").alias("_total"))
+    g = g.where((F.col("_total") == 0) | F.col("samples").isNotNull())
+    sym = F.when(F.col("_total") == 1, F.lit(label)).otherwise(F.col("symbol"))
+    return g.select(sym.alias("symbol"), *REPORT_COLUMNS[1:])
