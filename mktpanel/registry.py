@@ -29,7 +29,7 @@ from mktpanel.plans import online as ON
 from mktpanel.plans import panel as P
 from mktpanel.plans import prompts as PR
 from mktpanel.plans import run as RUN
-from mktpanel.session import shared_dir
+from mktpanel.session import materialize, shared_dir
 from mktpanel.sources import fixtures as fx
 from mktpanel.sources import readers as R
 from mktpanel.sources import universe as U
@@ -72,9 +72,15 @@ class Ctx:
             self._cache[key] = make()
         return self._cache[key]
 
+    @property
+    def counts(self):
+        # Small (brands x days x line numbers) and read by both prices and
+        # fundamentals: written once so ``lineitem`` is scanned once per query.
+        return self._get("counts", lambda: materialize(fx.line_counts(self.spark, self.d), "line-counts"))
+
     @property
     def prices(self):
-        return self._get("prices", lambda: fx.prices(self.spark, self.d))
+        return self._get("prices", lambda: fx.prices(self.spark, self.d, self.counts))
 
     @property
     def news(self):
@@ -82,7 +88,7 @@ class Ctx:
 
     @property
     def basics_long(self):
-        return self._get("basics_long", lambda: fx.basics_long(self.spark, self.d))
+        return self._get("basics_long", lambda: fx.basics_long(self.spark, self.d, self.counts))
 
     @property
     def profiles(self):

@@ -17,6 +17,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Prompt text is built after the last shuffle and is many times larger than
+    # the shuffled rows, so small post-shuffle partitions keep that work spread.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 

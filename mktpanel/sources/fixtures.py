@@ -26,16 +26,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """prices(symbol, date, close, adj_close, volume): one row per brand and ship day.
+def line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items counted per (brand, ship day, line number): the one pass over ``lineitem``.
 
-    ``Brand#1`` has no adjusted close, so price selection falls back to close.
+    Both prices and fundamentals are derived from this aggregate, whose size is
+    bounded by brands x days x line numbers however large ``lineitem`` grows;
+    sharing it lets a query scan and join ``lineitem`` once.
     """
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    g = (li.join(part, li.l_partkey == part.p_partkey)
-           .groupBy(F.col("p_brand").alias("symbol"), F.col("l_shipdate").cast("date").alias("date"))
-           .agg(F.sum("l_linenumber").alias("s"), F.count(F.lit(1)).alias("volume")))
+    return (li.join(part, li.l_partkey == part.p_partkey)
+              .groupBy(F.col("p_brand").alias("symbol"), F.col("l_shipdate").cast("date").alias("date"),
+                       F.col("l_linenumber").alias("line"))
+              .agg(F.count(F.lit(1)).alias("n")))
+
+
+def prices(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
+    """prices(symbol, date, close, adj_close, volume): one row per brand and ship day.
+
+    ``Brand#1`` has no adjusted close, so price selection falls back to close.
+    """
+    c = counts if counts is not None else line_counts(spark, sf_dir)
+    g = (c.groupBy("symbol", "date")
+          .agg(F.sum(F.col("line") * F.col("n")).alias("s"), F.sum("n").alias("volume")))
     rem = F.col("s") % 13
     return g.select(
         "symbol", "date",
@@ -61,18 +74,16 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.replace(F.substr("text", F.lit(1), F.lit(120)), F.lit("\n"), F.lit(" "))).alias("summary"))
 
 
-def basics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+def basics_long(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
     """basics_long(symbol, period, metric, v): quarterly metrics per brand."""
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber", "l_shipdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    line = F.col("l_linenumber")
+    c = counts if counts is not None else line_counts(spark, sf_dir)
+    line = F.col("line")
     metric = F.lit(METRIC_OTHER)
     for i in range(len(METRIC_BY_LINE), 0, -1):
         metric = F.when(line == i, F.lit(METRIC_BY_LINE[i - 1])).otherwise(metric)
-    period = F.last_day(F.add_months(F.trunc(F.col("l_shipdate").cast("date"), "quarter"), 2))
-    return (li.join(part, li.l_partkey == part.p_partkey)
-              .groupBy(F.col("p_brand").alias("symbol"), period.alias("period"), metric.alias("metric"))
-              .agg((F.count(F.lit(1)).cast("double") / 10).alias("v")))
+    period = F.last_day(F.add_months(F.trunc("date", "quarter"), 2))
+    return (c.groupBy("symbol", period.alias("period"), metric.alias("metric"))
+             .agg((F.sum("n").cast("double") / 10).alias("v")))
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
