@@ -7,7 +7,6 @@ so no text is built in Python per row.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,20 +95,19 @@ def basics_text(symbol, period, metrics) -> Column:
 
 def _highlight_items(metrics, rules, stop_on_null: bool):
     m = _c(metrics)
-    items, stops = [], []
+    items, stopped = [], None
     for key, threshold, template in rules:
-        present = F.map_contains_key(m, F.lit(key))
         value = F.element_at(m, F.lit(key))
         if stop_on_null:
-            stops.append(present & value.isNull())
-            stopped = reduce(lambda a, b: a | b, stops)
-            ok = (~stopped) & (F.when(present, value).otherwise(F.lit(-1.0)) > F.lit(threshold))
+            # A metric present with a NULL value ends the list, itself included.
+            here = F.map_contains_key(m, F.lit(key)) & value.isNull()
+            stopped = here if stopped is None else (stopped | here)
+            ok = (~stopped) & (F.coalesce(value, F.lit(-1.0)) > F.lit(threshold))
         else:
-            ok = value.isNotNull() if threshold is None else (value.isNotNull() & (value > F.lit(threshold)))
+            ok = value.isNotNull() if threshold is None else (value > F.lit(threshold))
         head, tail = template.split("{}")
         items.append(F.when(ok, F.concat(F.lit(head), num_text(value), F.lit(tail))))
-    any_stop = reduce(lambda a, b: a | b, stops) if stops else F.lit(False)
-    return items, any_stop
+    return items, (stopped if stopped is not None else F.lit(False))
 
 
 def basics_highlights(period, metrics) -> Column:
