@@ -449,7 +449,7 @@ SQL["evaluate_with_average"] = with_(*BASE, ANSWERS, PRED, pairs("key"), REPORT)
 # 2.6 windows
 HEADERS = f"hd AS (select *, {header('later')} as header from weekly)"
 SQL["history_window"] = with_(PRICES, WEEKLY, HEADERS) + f"""
-select t.symbol, t.week_idx, count(h.header) as n_history,
+select t.symbol, t.week_idx, cast(count(h.header) as integer) as n_history,
        coalesce(string_agg(h.header, ' | ' order by h.week_idx), '') as history_text
 from hd t left join hd h on h.symbol = t.symbol and h.week_idx between t.week_idx - {MAX_WEEKS} and t.week_idx - 1
 group by t.symbol, t.week_idx"""
