@@ -20,10 +20,10 @@ from mktpanel.sources import readers as R
 from mktpanel.sources.universe import universe
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True when a parquet table has been written at ``path``."""
+def _exists(spark: SparkSession, path: str, schema: str) -> bool:
+    """True when a table has been written at ``path`` (possibly empty)."""
     try:
-        spark.read.parquet(path).schema
+        spark.read.schema(schema).parquet(path).schema
         return True
     except AnalysisException:
         return False
@@ -44,7 +44,7 @@ def run_all(spark: SparkSession, prices: DataFrame, news: DataFrame, basics_long
 
     # 1. acquire panels for symbols not yet written
     syms = members_u.select("symbol")
-    if _exists(spark, f"{panel_dir}/weeks"):
+    if _exists(spark, f"{panel_dir}/weeks", R.PANEL_WEEKS_SCHEMA):
         done, _ = R.read_panel(spark, panel_dir)
         syms = R.pending_symbols(syms, done)
     p = prices.join(F.broadcast(syms), "symbol", "left_semi")   # universe: a bounded symbol list
@@ -62,7 +62,7 @@ def run_all(spark: SparkSession, prices: DataFrame, news: DataFrame, basics_long
 
     # 2. prompts and answers for prompts not yet answered
     prompts = build_prompts(panel, profiles, members, min_weeks, max_weeks)
-    old = R.read_answers(spark, answers_dir) if _exists(spark, answers_dir) else None
+    old = R.read_answers(spark, answers_dir) if _exists(spark, answers_dir, R.ANSWERS_SCHEMA) else None
     R.append_answers(generate_answers(prompts, old, factory), answers_dir)
     answers = R.read_answers(spark, answers_dir)
 

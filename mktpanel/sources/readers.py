@@ -37,6 +37,11 @@ PROFILE_SCHEMA = T.StructType([
     T.StructField("description", T.StringType()),
     T.StructField("marketCap", T.LongType()),
 ])
+PANEL_WEEKS_SCHEMA = ("symbol string, week_idx int, start_date date, start_price double, end_date date, "
+                      "end_price double, weekly_return double, bin_label string, basics_period date, "
+                      "basics_metrics map<string,double>")
+PANEL_NEWS_SCHEMA = ("symbol string, week_idx int, start_date date, end_date date, date string, "
+                     "headline string, summary string")
 # Wide price field name -> long column.
 WIDE_FIELDS = {"Open": "open", "High": "high", "Low": "low", "Close": "close",
                "Adj Close": "adj_close", "Volume": "volume"}
@@ -188,9 +193,12 @@ def write_panel(weeks: DataFrame, news: DataFrame, path: str) -> None:
 
 
 def read_panel(spark: SparkSession, path: str, symbols=None):
-    """Panel source (S8); a symbol filter prunes partitions."""
-    weeks = spark.read.parquet(f"{path}/weeks")
-    news = spark.read.parquet(f"{path}/news")
+    """Panel source (S8) with declared schemas; a symbol filter prunes partitions.
+
+    A table written empty (a universe without news) reads back as empty.
+    """
+    weeks = spark.read.schema(PANEL_WEEKS_SCHEMA).parquet(f"{path}/weeks")
+    news = spark.read.schema(PANEL_NEWS_SCHEMA).parquet(f"{path}/news")
     if symbols is not None:
         weeks = weeks.where(F.col("symbol").isin(list(symbols)))
         news = news.where(F.col("symbol").isin(list(symbols)))
@@ -202,8 +210,11 @@ def append_answers(answers: DataFrame, path: str) -> None:
     answers.write.mode("append").parquet(path)
 
 
+ANSWERS_SCHEMA = "symbol string, week_idx int, prompt string, answer string"
+
+
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("symbol string, week_idx int, prompt string, answer string").parquet(path)
+    return spark.read.schema(ANSWERS_SCHEMA).parquet(path)
 
 
 def dataset_path(base: str, index_name: str, start_date: str, end_date: str,

@@ -171,3 +171,35 @@ def test_full_run_resume_gives_equal_tables(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, second))
     weeks, _ = R.read_panel(spark, f"{base}/DOW-30_all_all/panel")
     assert weeks.count() == weeks.select("symbol", "week_idx").distinct().count()
+
+
+def test_crypto_run_uses_crypto_intro_and_no_basics(spark):
+    base = shared_dir(spark, "run-crypto")
+    ds = RUN.run_all(spark, fx.prices(spark, SF_SMALL), fx.news(spark, SF_SMALL), fx.basics_long(spark, SF_SMALL),
+                     fx.profiles(spark, SF_SMALL), fx.index_members(spark, SF_SMALL), base, G.canned_generator,
+                     index_name="crypto")
+    rows_ = ds.select("prompt", "symbol").collect()
+    assert rows_ and all("[Cryptocurrency Introduction]:" in r.prompt for r in rows_)
+    assert all("No basic financials reported." in r.prompt for r in rows_)
+    assert all("seasoned crypto market analyst" in r.prompt for r in rows_)
+    weeks, _ = R.read_panel(spark, f"{base}/CRYPTO_all_all_nobasics/panel")
+    assert weeks.where(F.col("basics_period").isNotNull()).count() == 0
+
+
+def test_online_prompt_structure(spark):
+    from mktpanel.plans import online as ON
+    members = fx.index_members(spark, SF_SMALL)
+    rp = ON.recent_panel(fx.prices(spark, SF_SMALL), fx.news(spark, SF_SMALL), members, "1999-06-16", 3)
+    out = ON.online_prompts(rp, fx.profiles(spark, SF_SMALL), fx.basics_long(spark, SF_SMALL), members, "1999-06-16")
+    got = {r.symbol: r for r in out.collect()}
+    company = got["Brand#2"]
+    assert company.info.startswith("[Company Introduction]:\n\nCompany Brand#2 is a leading entity")
+    assert "Some recent basic financials of Brand#2, reported at " in company.info
+    assert company.prompt.startswith(company.info)
+    assert company.prompt.endswith("for next week (1999-06-16 to 1999-06-23). Provide a summary analysis to support "
+                                   "your prediction.")
+    crypto = got["Brand#22"]
+    assert crypto.info.startswith("[Cryptocurrency Introduction]:")
+    assert crypto.info.endswith("[Basic Financials]:\n\nNo basic financial reported.")
+    # at most five sampled articles per interval
+    assert all(r.info.count("[Headline]:") <= 5 * 4 for r in got.values())
