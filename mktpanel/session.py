@@ -20,6 +20,11 @@ SESSION_DEFAULTS = {
     # Prompt text is built after the last shuffle and is many times larger than
     # the shuffled rows, so small post-shuffle partitions keep that work spread.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # The UI is off; keep the driver's job/stage/SQL status store small so long
+    # sessions with many queries do not slow down as it grows.
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "50",
+    "spark.ui.retainedStages": "50",
 }
 
 
