@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mktpanel.llm import simhash_dedup
+from mktpanel.llm import mixing, packing, quality_rules, simhash_dedup, topk
 from mktpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,83 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+@register("op1_quality_rules")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"), ["doc_id"])
+    return judged.select("doc_id", *quality_rules.BASE, "base_failed", "rule", "kept")
+
+
+@register("op2_exact_top_k", """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e
+  from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+s as (
+  select q.vec_id as query_id, v.vec_id as vec_id, list_dot_product(q.e, v.e)::bigint as score
+  from v q join v on v.vec_id <> q.vec_id
+  where q.vec_id % 20 = 0),
+r as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+  from s)
+select query_id, rank, vec_id, score from r where rank <= 20
+""")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op6_mix_sources", r"""
+with t as (
+  select doc_id, source, coalesce(text, '') as text,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
+  from documents),
+w as (
+  select *, case when signs = 0 and size >= 50 then 2.0::double when signs * 20 > length(text) then 0.5::double
+                 else 1.0::double end as weight
+  from (select *, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as signs from t)),
+drawn as (
+  select doc_id, source, size,
+         -ln((('0x' || substr(md5('mix-1-' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint::double + 1.0)
+             / 4503599627370496.0) / weight as key
+  from w),
+src as (select source, sum(size)::bigint as source_size from drawn group by source),
+named as (
+  select *, [3, 1, 2][((row_number() over (order by source is null, source) - 1) % 3 + 1)::int]::bigint as w,
+         2 * source_size as cap
+  from src),
+ordered as (
+  select *, row_number() over o as k, (sum(cap) over (o rows unbounded preceding) - cap)::bigint as capped_before,
+         (sum(w) over (o rows between current row and unbounded following))::bigint as w_left,
+         (3 * sum(source_size) over ())::bigint as total3
+  from named window o as (order by cap * (6 // w), source is null, source)),
+opened as (
+  select *, total3 - 2 * capped_before as left2,
+         min(case when cap * 2 * w_left > (total3 - 2 * capped_before) * w then k end) over () as first_open
+  from ordered),
+target as (
+  select source, source_size,
+         case when first_open is null or k < first_open then cap::double
+              else max(case when k = first_open then left2 / 2.0::double / w_left end) over () * w end as target
+  from opened),
+budget as (
+  select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as epochs from target),
+placed as (
+  select d.doc_id, d.size, b.source_size, b.target, b.epochs, b.target - b.epochs * b.source_size as rest,
+         sum(d.size) over (partition by d.source order by d.key, d.doc_id, d.size rows unbounded preceding) as upto
+  from drawn d join budget b on d.source is not distinct from b.source)
+select doc_id, size, source_size, target,
+       (size * (epochs + case when rest > 0 and upto - size / 2.0::double <= rest then 1 else 0 end))::bigint as taken
+from placed
+""")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.taken(table(spark, d, "documents"))
+
+
+@register("op7_pack_sequences")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"))
+
+
 @register("op10_simhash_near_dedup")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, d, "documents"))
