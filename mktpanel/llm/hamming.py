@@ -154,12 +154,12 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _bucket(fp: Column, level: int, mask: int) -> Column:
+def _bucket(fp: Column, level: int, mask: int, salt: int) -> Column:
     # Two buckets that share a hash are searched together; distances are checked, so no false link follows.
-    return F.xxhash64(F.lit(level), F.lit(_signed(mask)), fp.bitwiseAND(F.lit(_signed(mask)).cast("long")))
+    return F.xxhash64(F.lit(salt), F.lit(level), F.lit(_signed(mask)), fp.bitwiseAND(F.lit(_signed(mask)).cast("long")))
 
 
-def with_buckets(rows: DataFrame, fp: str, max_bits: int, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+def with_buckets(rows: DataFrame, fp: str, max_bits: int, hot_bucket: int = HOT_BUCKET, salt: int = 0) -> DataFrame:
     """``rows`` once per block with its bucket in column ``bucket``; hot buckets are dealt again.
 
     Rows of a bucket above ``hot_bucket`` rows move to the buckets of the
@@ -168,7 +168,7 @@ def with_buckets(rows: DataFrame, fp: str, max_bits: int, hot_bucket: int = HOT_
     """
     tops = block_masks(max_bits)
     out = rows.withColumn("_b", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("m"), _bucket(F.col(fp), 0, m).alias("bucket")) for i, m in enumerate(tops)])))
+        F.struct(F.lit(i).alias("m"), _bucket(F.col(fp), 0, m, salt).alias("bucket")) for i, m in enumerate(tops)])))
     out = out.select(*rows.columns, F.col("_b.m").alias("_m"), F.col("_b.bucket").alias("bucket"))
     masks = list(tops)
     for level in range(1, MAX_SPLITS + 1):
@@ -181,7 +181,7 @@ def with_buckets(rows: DataFrame, fp: str, max_bits: int, hot_bucket: int = HOT_
         below = [(i, sub) for i, m in enumerate(masks) for sub in block_masks(max_bits, ~m & ((1 << 64) - 1))]
         split = flagged.filter("_hot").withColumn("_b", F.explode(F.filter(F.array(*[
             F.struct(F.lit(i).alias("of"), F.lit(k).alias("m"),
-                     _bucket(F.col(fp), level, masks[i] | sub).alias("bucket"))
+                     _bucket(F.col(fp), level, masks[i] | sub, salt).alias("bucket"))
             for k, (i, sub) in enumerate(below)]), lambda x: x["of"] == F.col("_m"))))
         split = split.select(*rows.columns, F.col("_b.m").alias("_m"), F.col("_b.bucket").alias("bucket"))
         # Numbers of the next masks start anew; calm rows are never split again.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mktpanel.llm import mixing, packing, quality_rules, simhash_dedup, topk
+from mktpanel.llm import line_dedup, mixing, packing, quality_rules, simhash_dedup, topk
 from mktpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,14 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@register("op4_fuzzy_line_dedup")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("__dropped").cast("long").alias("n_dropped"),
+        F.length("text").cast("long").alias("n_chars"), F.crc32(F.col("text")).alias("text_crc32"))
+
+
 @register("op6_mix_sources", r"""
 with t as (
   select doc_id, source, coalesce(text, '') as text,
