@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mktpanel.llm import line_dedup, mixing, packing, quality_rules, simhash_dedup, topk
+from mktpanel.llm import (
+    language_id,
+    licenses,
+    line_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    simhash_dedup,
+    topk,
+    warc_derive,
+)
 from mktpanel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +59,11 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@register("op3_language_id")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    return language_id.identify(table(spark, d, "documents"))
+
+
 @register("op4_fuzzy_line_dedup")
 def op4(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
@@ -57,6 +72,16 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
         F.length("text").cast("long").alias("n_chars"), F.crc32(F.col("text")).alias("text_crc32"))
 
 
+@register("op5_license_scan")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    # The table has no paths: source, language and number give a tree of unequal depth.
+    doc = F.col("doc_id")
+    path = F.concat_ws("/", "source", F.when(doc % 3 > 0, F.col("lang")),
+                       F.when(doc % 3 > 1, F.floor(doc / 50).cast("string")), F.concat(doc.cast("string"), F.lit(".txt")))
+    files = table(spark, d, "documents").select(doc.alias("id"), path.alias("path"), "text")
+    return licenses.scan_licences(files).withColumnRenamed("id", "doc_id")
+
+
 @register("op6_mix_sources", r"""
 with t as (
   select doc_id, source, coalesce(text, '') as text,
@@ -109,6 +134,13 @@ def op7(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"))
 
 
+@register("op9_warc_derivatives")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    records = warc_derive.derive(warc_derive.responses(table(spark, d, "pages")))
+    return records.select("page_id", "record_type", "record_id", "refers_to", "target_uri", "block_digest",
+                          "content_length", F.crc32("record").alias("record_crc32"))
+
+
 @register("op10_simhash_near_dedup")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, d, "documents"))
