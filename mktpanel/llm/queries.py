@@ -15,6 +15,7 @@ from mktpanel.llm import (
     packing,
     quality_rules,
     simhash_dedup,
+    token_files,
     topk,
     warc_derive,
 )
@@ -134,6 +135,11 @@ def op7(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"))
 
 
+@register("op8_token_files")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    return token_files.write_and_read(table(spark, d, "documents"))
+
+
 @register("op9_warc_derivatives")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     records = warc_derive.derive(warc_derive.responses(table(spark, d, "pages")))
