@@ -15,7 +15,18 @@ from itertools import chain
 import numpy as np
 
 TEXT_AT_ONCE = 1 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
+_ENDS = frozenset(".,;:!?")
+
+
+def _byte_characters() -> list[str]:
+    """The character by which byte-level files write each byte: itself if printable, else the next from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
+
+
+_BYTE_CHARACTERS = _byte_characters()
 
 
 class Encoder:
@@ -34,6 +45,7 @@ class Encoder:
         self.spaced = spaced
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -49,6 +61,33 @@ class Encoder:
         # A word after a space keeps it; a line feed stands alone.
         return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") if "\0" not in text else None
 
+    def _merged(self, word: str) -> bytes:
+        """Ids of a word that is one piece before the merges."""
+        shown = word if word.isascii() and word[0] != " " else "".join([_BYTE_CHARACTERS[b] for b in word.encode()])
+        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        """Put new words in the cache; only those of letters, with or without a sign behind, are seen to be simple."""
+        hard = []
+        for word in new:
+            bare = word[1:] if word[0] == " " else word
+            head = bare[:-1] if bare[-1:] in _ENDS else bare
+            # Characters up to U+00FF are normalised and have a lower case of their own.
+            if not head.isalpha() or not self.spaced and max(head) > "\xff":
+                hard.append(word)
+                continue
+            whole = word if self.spaced else word.lower()
+            if head is bare:
+                self.cache[word] = self._merged(whole)
+            else:
+                self.cache[word] = (self.cache.get(word[:-1]) or self._merged(whole[:-1])) + self._sign(whole[-1])
+        self.cache.update(zip(hard, self._direct(hard), strict=True))
+
+    def _sign(self, sign: str) -> bytes:
+        if sign not in self.signs:
+            self.signs[sign] = self._direct([sign])[0]
+        return self.signs[sign]
+
     def _chunk(self, texts: list[str]) -> list[bytes]:
         pieces = [self._pieces(t) for t in texts]
         wanted = set(chain.from_iterable(p for p in pieces if p)) - self.cache.keys()
@@ -58,8 +97,7 @@ class Encoder:
             wanted = set(chain.from_iterable(p for p in pieces if p))
         again = wanted & self.older.keys()
         self.cache.update((w, self.older[w]) for w in again)
-        new = list(wanted - again)
-        self.cache.update(zip(new, self._direct(new), strict=True))
+        self._learn(wanted - again)
         get = self.cache.__getitem__
         return [b"".join(map(get, p)) if p is not None else self._direct([t])[0]
                 for p, t in zip(pieces, texts, strict=True)]
