@@ -9,6 +9,7 @@ single spaces and line feeds go through the tokenizer whole.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -17,6 +18,8 @@ import numpy as np
 TEXT_AT_ONCE = 1 << 20
 CACHE_WORDS = 400_000
 _ENDS = frozenset(".,;:!?")
+# Blanks to Python, signs to the tokenizers.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def _byte_characters() -> list[str]:
@@ -53,6 +56,8 @@ class Encoder:
 
     def _pieces(self, text: str) -> list[str] | None:
         """The words of a text as the tokenizer sees them, or None where it must see the whole."""
+        if _SEPARATORS.search(text):
+            return None
         found = text.split()
         if not self.spaced:
             return found
