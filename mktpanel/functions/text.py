@@ -38,14 +38,77 @@ def fill(template: str, **cols) -> Column:
     return F.concat(*parts) if parts else F.lit("")
 
 
+# Doubles from here on are whole and leave the range of a long.
+_LONG_END = 9.2e18
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once and the expression kept small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _two_decimals(x: Column) -> Column:
+    a = F.abs(x)
+    whole = F.floor(a)
+
+    def cents_of(part: Column) -> Column:
+        split = part * 134217729.0
+        high = split - (split - part)
+        product = part * 100.0
+        error = (high * 100.0 - product) + (part - high) * 100.0
+        down = F.floor(product)
+        past_half = (product - down) - 0.5
+        return down + F.when((past_half > -error) | ((past_half == -error) & (down % 2 == 1)), 1).otherwise(0)
+
+    return _let(cents_of(a - whole), lambda cents: F.concat(
+        F.when(F.startswith(x.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit("")),
+        (whole + F.floor(cents / 100)).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")))
+
+
 def money(x) -> Column:
-    """``{:.2f}``.  Same digits as Python except exact binary ties (0.125)."""
-    return F.format_string("%.2f", _c(x))
+    """``{:.2f}``: the exact binary value rounded half to even; NULL prints as ``None``.
+
+    The part after the point is split off exactly and 100 times it is taken as
+    a rounded product plus its error (its two halves have few enough bits);
+    the rest of that is compared with a half.
+    """
+    return F.coalesce(_let(_c(x).cast("double"), lambda v: F.when(F.isnan(v), F.lit("nan")).when(
+        F.abs(v) < _LONG_END, _two_decimals(v)).when(F.abs(v) < float("inf"), F.format_string("%.2f", v)).when(
+        v > 0, F.lit("inf")).when(v < 0, F.lit("-inf"))), F.lit(fixed.NULL_TEXT))
+
+
+_SCIENTIFIC = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+
+
+def _python_digits(x: Column) -> Column:
+    """``str(float)`` of a value that Spark writes with an exponent, or that is not finite."""
+    s = x.cast("string")
+    sign, lead, frac = (F.regexp_extract(s, _SCIENTIFIC, i) for i in (1, 2, 3))
+    exp = F.regexp_extract(s, _SCIENTIFIC, 4).cast("int")
+    frac = F.when(frac == "0", F.lit("")).otherwise(frac)
+    digits = F.concat(lead, frac)
+    n = F.length(frac)
+    large = F.when(n <= exp, F.concat(digits, F.repeat(F.lit("0"), exp - n), F.lit(".0"))).otherwise(
+        F.concat(F.left(digits, exp + 1), F.lit("."), F.substr(digits, exp + 2)))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    size = F.abs(exp).cast("string")
+    power = F.concat(lead, F.when(n > 0, F.concat(F.lit("."), frac)).otherwise(F.lit("")),
+                     F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                     F.when(F.length(size) < 2, F.lit("0")).otherwise(F.lit("")), size)
+    written = F.concat(sign, F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power))
+    return (F.when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+             .when(F.contains(s, F.lit("E")), written).otherwise(s))
 
 
 def num_text(x) -> Column:
-    """``str(float)`` for 1e-3 <= |x| < 1e7; NULL prints as ``None``."""
-    return F.coalesce(_c(x).cast("string"), F.lit(fixed.NULL_TEXT))
+    """``str(float)``: plain digits for exponents -4 to 15, else ``d.de+XX``; NULL prints as ``None``.
+
+    The digits are the platform's; Java before 19 prints one digit too many
+    for a few values of 17 digits.
+    """
+    x = _c(x).cast("double")
+    common = x.between(0.001, 9999999.0) | (x == 0)
+    return F.coalesce(F.when(common, x.cast("string")).otherwise(_let(x, _python_digits)), F.lit(fixed.NULL_TEXT))
 
 
 def iso_date(d) -> Column:
@@ -134,15 +197,17 @@ def company_intro(profile: dict | None = None, variant: str = "later") -> Column
     p = {k: F.col(k) for k in ("name", "finnhubIndustry", "ipo", "marketCapitalization",
                                 "currency", "shareOutstanding", "country", "ticker", "exchange")}
     p.update(profile or {})
-    p["marketCapitalization"] = money(p["marketCapitalization"])
-    p["shareOutstanding"] = money(p["shareOutstanding"])
+    # A missing field prints as such; it must not make the whole prompt NULL.
+    p = {k: money(v) if k in ("marketCapitalization", "shareOutstanding") else F.coalesce(v, F.lit(fixed.NULL_TEXT))
+         for k, v in p.items()}
     tpl = fixed.COMPANY_INTRO_LATER if variant == "later" else fixed.COMPANY_INTRO_EARLIER
     return fill(tpl, **p)
 
 
 def crypto_intro(description="description", market_cap="marketCap") -> Column:
     """Crypto introduction."""
-    return fill(fixed.CRYPTO_INTRO, description=_c(description), marketCap=_c(market_cap).cast("string"))
+    return fill(fixed.CRYPTO_INTRO, description=F.coalesce(_c(description), F.lit(fixed.NULL_TEXT)),
+                marketCap=F.coalesce(_c(market_cap).cast("string"), F.lit(fixed.NULL_TEXT)))
 
 
 def task_ending(symbol, start_date, end_date) -> Column:

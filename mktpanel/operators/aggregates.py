@@ -1,4 +1,4 @@
-"""Aggregations (A1-A4): bounded article lists, metric maps, accuracy report."""
+"""Aggregations (A1-A4): article lists, metric maps, accuracy report."""
 
 from __future__ import annotations
 
@@ -11,36 +11,44 @@ from mktpanel.operators.sampling import top_news
 REPORT_COLUMNS = ["symbol", "samples", "directional_accuracy", "full_accuracy", "missing_predictions"]
 
 
-def collect_news(week_articles: DataFrame, k: int, by=("symbol", "week_idx"), text_col: str | None = None,
-                 with_count: bool = True) -> DataFrame:
-    """Ordered article list per group (A1): the first ``k`` in (date, headline, summary) order.
+def collect_news(week_articles: DataFrame, by=("symbol", "week_idx")) -> DataFrame:
+    """Every article of a group as ordered lists (A1), one page per stamp hour.
 
-    Lists are always bounded: ``k`` is required and the cut happens map-side
-    before the shuffle (see ``sampling.top_news``), so no group is gathered
-    whole.  The complete set of articles stays in long form, one row each.
-    Returns ``(by..., news array<struct<date, headline, summary[, text]>>[, n_news])``;
-    the total count is a separate partial aggregate, skipped with ``with_count=False``.
+    ``(by..., page, news array<struct<date, headline, summary>>, n_page, n_news)``;
+    the pages in order are the whole list, and ``n_news`` is its length.  Pages
+    spread a hot week over its hours, so no cell or task holds a whole week.
+    """
+    page = F.substr("date", F.lit(1), F.lit(10)).alias("page")
+    pages = week_articles.groupBy(*by, page).agg(
+        F.sort_array(F.collect_list(F.struct("date", "headline", "summary"))).alias("news"),
+        F.count(F.lit(1)).alias("n_page"))
+    totals = week_articles.groupBy(*by).agg(F.count(F.lit(1)).alias("n_news"))
+    return pages.join(totals, list(by))
+
+
+def first_news(week_articles: DataFrame, k: int, by=("symbol", "week_idx"), text_col: str | None = None) -> DataFrame:
+    """The first ``k`` articles of each group as one list, in (date, headline, summary) order (K1).
+
+    The cut happens map-side before the shuffle (see ``sampling.top_news``).
     """
     fields = ["date", "headline", "summary"] + ([text_col] if text_col else [])
     top = top_news(week_articles, k=k, by=by)
-    lists = (top.groupBy(*by)
-                .agg(F.array_sort(F.collect_list(F.struct("rn", *fields))).alias("_l"))
-                .select(*by, F.transform("_l", lambda e: F.struct(*[e[f].alias(f) for f in fields])).alias("news")))
-    if not with_count:
-        return lists
-    n = week_articles.groupBy(*by).agg(F.count(F.lit(1)).alias("n_news"))
-    return n.join(lists, list(by))
+    return (top.groupBy(*by)
+               .agg(F.array_sort(F.collect_list(F.struct("rn", *fields))).alias("_l"))
+               .select(*by, F.transform("_l", lambda e: F.struct(*[e[f].alias(f) for f in fields])).alias("news")))
 
 
 def pivot_basics(basics_long: DataFrame) -> DataFrame:
-    """basics_long(symbol, period, metric, v) -> (symbol, period, metrics map) (A2).
+    """basics_long(symbol, period, metric, v[, pos]) -> (symbol, period, metrics map) (A2).
 
-    Input is keyed by (symbol, period, metric) (``read_basics`` keeps the later
-    of duplicate entries).  Each group holds one entry per metric, so the map
-    is bounded by the number of metric names.
+    A metric listed more than once in a period has the value of the largest
+    ``pos`` (the later entry); without ``pos`` the largest value.  A map holds
+    one entry per metric, so it is bounded by the number of metric names.
     """
-    return (basics_long.groupBy("symbol", "period")
-                       .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "v")))).alias("metrics")))
+    later = F.max_by("v", "pos") if "pos" in basics_long.columns else F.max("v")
+    one = basics_long.groupBy("symbol", "period", "metric").agg(later.alias("v"))
+    return (one.groupBy("symbol", "period")
+               .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "v")))).alias("metrics")))
 
 
 def evaluate(pairs: DataFrame) -> DataFrame:
@@ -57,25 +65,24 @@ def evaluate(pairs: DataFrame) -> DataFrame:
     return g.where(F.col("directional_accuracy").isNotNull()).select(*REPORT_COLUMNS)
 
 
-def _sorted_mean(c: str) -> F.Column:
-    """Mean summed in ascending value order, so the result does not depend on row order.
-
-    Applied to per-symbol rows only (one value per symbol), so the list is small.
-    """
-    vals = F.array_sort(F.collect_list(c))
-    return F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x) / F.size(vals))
+# Per-symbol values are summed as decimals: exact, so any order of partial sums gives the same mean.
+_EXACT = "decimal(38,12)"
 
 
 def with_macro_average(report: DataFrame, label: str = "Average") -> DataFrame:
     """Append the mean of the per-symbol rows (A4); a macro average, not a micro one.
 
-    One pass: ``rollup("symbol")`` over the per-symbol report.  Each symbol
-    group holds its single row (its mean is the value itself) and the grand
-    total averages the per-symbol values, so the report's upstream work (and
-    any generation feeding it) runs once.
+    One pass: ``rollup("symbol")`` over the per-symbol report.  A symbol's group
+    holds its single row; the grand total is a partial sum per task and one
+    division.
     """
-    g = report.rollup("symbol").agg(*[_sorted_mean(c).alias(c) for c in REPORT_COLUMNS[1:]],
-                                    F.grouping("symbol").alias("_total"))
-    g = g.where((F.col("_total") == 0) | F.col("samples").isNotNull())
-    sym = F.when(F.col("_total") == 1, F.lit(label)).otherwise(F.col("symbol"))
-    return g.select(sym.alias("symbol"), *REPORT_COLUMNS[1:])
+    n = F.count(F.lit(1)).cast("double")
+    g = report.rollup("symbol").agg(
+        *[F.sum(F.col(c).cast(_EXACT)).cast("double").alias(f"_s_{c}") for c in REPORT_COLUMNS[1:]],
+        *[F.max(c).alias(f"_v_{c}") for c in REPORT_COLUMNS[1:]],
+        n.alias("_n"), F.grouping("symbol").alias("_total"))
+    total = F.col("_total") == 1
+    g = g.where(~total | (F.col("_n") > 0))
+    return g.select(F.when(total, F.lit(label)).otherwise(F.col("symbol")).alias("symbol"),
+                    *[F.when(total, F.col(f"_s_{c}") / F.col("_n")).otherwise(F.col(f"_v_{c}")).alias(c)
+                      for c in REPORT_COLUMNS[1:]])

@@ -51,16 +51,16 @@ def attach_news(weeks: DataFrame, news: DataFrame) -> DataFrame:
 def news_in_intervals(intervals: DataFrame, news: DataFrame, lo, hi, key: str = "row_idx") -> DataFrame:
     """Articles inside irregular ``[start_date, end_date]`` intervals (generic J1 form, P8).
 
-    News is first cut to the day range ``[lo, hi]`` (pushed to the scan); the
-    intervals are a handful per symbol (``n_weeks + 1``), so they are
-    broadcast and each article probes only its own symbol's intervals.
+    News is first cut to the day range ``[lo, hi]`` (pushed to the scan).  An
+    interval is expanded to its days, so this is an equi-join on (symbol, day):
+    no range condition, and a hot symbol spreads over its days.
     """
     lo_d = F.lit(lo).cast("date") if isinstance(lo, str) else lo
     hi_d = F.lit(hi).cast("date") if isinstance(hi, str) else hi
     a = article_days(news).where(F.col("day").between(lo_d, hi_d))
-    iv = F.broadcast(intervals.select("symbol", key, "start_date", "end_date"))
-    return (a.join(iv, "symbol")
-             .where(F.col("day").between(F.col("start_date"), F.col("end_date")))
+    iv = intervals.where(F.col("start_date") <= F.col("end_date")).select(
+        "symbol", key, "start_date", "end_date", F.explode(F.sequence("start_date", "end_date")).alias("day"))
+    return (a.join(iv, ["symbol", "day"])
              .select("symbol", key, "start_date", "end_date", "date", "headline", "summary"))
 
 
@@ -68,7 +68,7 @@ def attach_basics(weeks: DataFrame, basics: DataFrame, always: bool = False) ->
     """Fundamentals as of each week (J2, J3): latest period strictly before ``end_date``.
 
     Default: the period must also be on or after the start of the row two
-    weeks back (``end_date - 21``), and rows 0 and 1 get none.  ``always=True``
+    rows back, and rows 0 and 1 get none (W3).  ``always=True``
     drops the lower bound for every row.
 
     Rewrite R2: week rows and periods are unioned per symbol and ordered by
@@ -78,7 +78,8 @@ def attach_basics(weeks: DataFrame, basics: DataFrame, always: bool = False) ->
     """
     b = basics.select("symbol", F.col("period").alias("_t"), F.lit(1).alias("_kind"),
                       F.struct(F.col("period").alias("period"), F.col("metrics").alias("metrics")).alias("_b"))
-    w = weeks.select(*weeks.columns, F.col("end_date").alias("_t"), F.lit(0).alias("_kind"),
+    two_back = F.lag("start_date", 2).over(Window.partitionBy("symbol").orderBy("week_idx"))
+    w = weeks.select(*weeks.columns, two_back.alias("_lower"), F.col("end_date").alias("_t"), F.lit(0).alias("_kind"),
                      F.lit(None).cast(b.schema["_b"].dataType).alias("_b"))
     u = w.unionByName(b, allowMissingColumns=True)
     win = Window.partitionBy("symbol").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
@@ -86,8 +87,7 @@ def attach_basics(weeks: DataFrame, basics: DataFrame, always: bool = False) ->
              .where(F.col("_kind") == 0))
     keep = F.col("_last").isNotNull()
     if not always:
-        lower = F.date_sub(F.col("end_date"), 21)
-        keep = keep & (F.col("week_idx") >= 2) & (F.col("_last.period") >= lower)
+        keep = keep & F.coalesce(F.col("_last.period") >= F.col("_lower"), F.lit(False))
     return asof.select(*weeks.columns,
                        F.when(keep, F.col("_last.period")).alias("basics_period"),
                        F.when(keep, F.col("_last.metrics")).otherwise(F.create_map().cast("map<string,double>"))

@@ -27,12 +27,12 @@ def _valid(c: str) -> F.Column:
 def price_field(prices: DataFrame) -> DataFrame:
     """Add ``price``: adjusted close when the symbol has any adjusted value, else close (S3).
 
-    The choice is per symbol, not per row.  Daily rows per symbol are bounded
-    by the calendar, so a symbol window is cheap and needs no join.
+    The choice is per symbol, not per row: one flag per symbol is aggregated
+    and joined back, so the daily rows are not sorted by symbol.
     """
-    w = Window.partitionBy("symbol")
-    use_adj = F.max(_valid("adj_close").cast("int")).over(w) == 1
-    return prices.withColumn("price", F.when(use_adj, F.col("adj_close")).otherwise(F.col("close")))
+    flag = prices.groupBy("symbol").agg(F.max(F.coalesce(_valid("adj_close"), F.lit(False))).alias("_adj"))
+    return (prices.join(flag, "symbol")
+                  .withColumn("price", F.when(F.col("_adj"), F.col("adj_close")).otherwise(F.col("close"))).drop("_adj"))
 
 
 def weekly_close(prices: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from mktpanel.functions import fixed
 
 # Query parameters, the same values the registry passes to the Spark jobs.
 SCAN_START, SCAN_END = "1996-01-01", "2000-01-01"
+RUN_START, RUN_END = "1998-01-01", "1999-07-01"
 CURDAY = "1999-06-16"
 ONLINE_WEEKS = 3
 MIN_WEEKS, MAX_WEEKS, RATIO = 1, 4, 0.6
@@ -50,14 +51,13 @@ PRICES = """prices AS (
   from lineitem join part on l_partkey = p_partkey
   group by p_brand, cast(l_shipdate as date))"""
 
-NEWS = """news AS (
-  select concat('Brand#', cast(1 + doc_id % 3 as varchar)) as symbol,
+NEWS = f"""news AS (
+  select concat('Brand#', cast(case when doc_id % 2 = 0 then 1 else 1 + (doc_id // 2) % 25 end as varchar)) as symbol,
          915321600 + ((doc_id * 7919) % 420) * 86400 + (doc_id * 37) % 86400 as datetime,
          case when doc_id % 17 = 0 then null
-              else split_part(substr(text, 1, 60), chr(10), 1) end as headline,
-         case when doc_id % 10 = 0
-              then concat('Looking for stock market analysis and research with proves results? ', cast(doc_id as varchar))
-              else replace(substr(text, 1, 120), chr(10), ' ') end as summary
+              else split_part(text, chr(10), 1) end as headline,
+         case when doc_id % 10 = 0 then {q(fixed.BOILERPLATE_LONG)} || replace(text, chr(10), ' ')
+              else replace(text, chr(10), ' ') end as summary
   from documents)"""
 
 BASICS_LONG = """basics_long AS (
@@ -271,12 +271,12 @@ REPORT = """rep AS (
 
 
 def _mean(c: str) -> str:
-    return f"list_reduce(list_sort(list({c})), lambda a, b: a + b) / count({c})"
+    return f"cast(sum(cast({c} as decimal(38,12))) as double) / cast(count(*) as double)"
 
 
 REPORT_AVG = ("select * from rep union all select 'Average', " +
               ", ".join(_mean(c) for c in ["samples", "directional_accuracy", "full_accuracy", "missing_predictions"])
-              + " from rep")
+              + " from rep having count(*) > 0")
 
 PHRASE_V1 = "case bin_label " + " ".join(f"when {q(k)} then {q(v)}" for k, v in fixed.BIN_PHRASE_V1.items()) + " end"
 TRAIN_SYS = (f"replace(case when c.asset_class = 'crypto' then {q(fixed.SYSTEM_PROMPTS['crypto'])} "
@@ -376,17 +376,21 @@ SQL["scan_basics"] = with_(BASICS_LONG) + "select symbol, period, metric, v from
 SQL["scan_profiles"] = with_(PROFILES) + "select * from profiles"
 SQL["universe"] = with_(MEMBERS) + "select symbol, index_name, asset_class from members where index_name = 'dow'"
 
+DIGEST = ("sum(('0x' || left(md5(concat_ws('|', date, coalesce(headline, 'None'), coalesce(summary, 'None'))), 8))::bigint)"
+          "::bigint")
 PANEL_SUMMARY = """select w.symbol, w.week_idx, w.start_date, w.start_price, w.end_date, w.end_price, w.weekly_return,
-       w.bin_label, (select count(*) from art_weeks a where a.symbol = w.symbol and a.week_idx = w.week_idx) as n_news,
-       w.basics_period
-from wb w"""
+       w.bin_label, coalesce(n.n_news, 0) as n_news, coalesce(n.news_digest, 0) as news_digest, w.basics_period
+from wb w left join (select symbol, week_idx, count(*) as n_news, """ + DIGEST + """ as news_digest
+                     from art_weeks group by 1, 2) n on n.symbol = w.symbol and n.week_idx = w.week_idx"""
 SQL["panel_roundtrip"] = with_(PRICES, NEWS, BASICS_LONG, WEEKLY, NEWS_DAYS, ART_WEEKS, BMAP, WB) + PANEL_SUMMARY
 BASE = (PRICES, NEWS, BASICS_LONG, PROFILES, MEMBERS, WEEKLY, NEWS_DAYS, ART_WEEKS, BMAP, WB, BLOCKS)
+SQL["panel_json_roundtrip"] = SQL["panel_roundtrip"]
 SQL["answers_append"] = with_(*BASE, ANSWERS) + "select symbol, week_idx, answer from answers"
 SQL["dataset_roundtrip"] = with_(*BASE, ANSWERS, TRAINING) + "select * from ds"
 SQL["evaluation_roundtrip"] = with_(*BASE, ANSWERS, PRED, pairs("position"), REPORT) + REPORT_AVG
-SQL["pending_symbols"] = with_(NEWS, MEMBERS) + """
-select symbol, index_name, asset_class from members where symbol not in (select symbol from news)"""
+SQL["pending_symbols"] = with_(PRICES, MEMBERS, WEEKLY) + """
+select symbol, index_name, asset_class from members
+where symbol not in (select w.symbol from weekly w join members m on m.symbol = w.symbol where m.index_name = 'dow')"""
 
 # 2.2 filters
 SQL["asset_class"] = with_(PRICES, MEMBERS, WEEKLY) + """
@@ -394,8 +398,11 @@ select w.symbol, w.week_idx, case when m.symbol is null then 'company' else m.as
 from weekly w left join members m on m.symbol = w.symbol"""
 SQL["drop_boilerplate"] = with_(NEWS) + f"""
 select * from news where not coalesce(starts_with(summary, {q(fixed.BOILERPLATE_SHORT)}), false)"""
-SQL["news_cutoff"] = with_(PRICES, NEWS, MEMBERS, NEWS_DAYS, STEPS) + """
-select symbol, row_idx, date, headline, summary from iv_news where substr(date, 1, 8) <= strftime(end_date, '%Y%m%d')"""
+SQL["news_cutoff"] = with_(PRICES, NEWS, MEMBERS, NEWS_DAYS, STEPS) + f"""
+select i.symbol, i.row_idx, n.date, n.headline, n.summary
+from iv i join news_days n on n.symbol = i.symbol
+where n.day between date '{CURDAY}' - {7 * ONLINE_WEEKS} and date '{CURDAY}' + 14 and n.day >= i.start_date
+  and n.day <= i.end_date"""
 SQL["usable_answers"] = with_(*BASE, ANSWERS) + "select symbol, week_idx, answer from answers where answer <> ''"
 SQL["empty_basics"] = with_(PRICES, WEEKLY) + """
 select symbol, week_idx, cast(null as date) as basics_period, 0 as n_metrics from weekly"""
@@ -421,6 +428,11 @@ SQL["basics_asof_window"] = with_(PRICES, BASICS_LONG, WEEKLY, BMAP, asof("wb",
 select symbol, week_idx, end_date, basics_period, metrics_text from wb"""
 SQL["basics_asof_always"] = with_(PRICES, BASICS_LONG, WEEKLY, BMAP, asof("wb", True)) + """
 select symbol, week_idx, end_date, basics_period, metrics_text from wb"""
+SQL["basics_asof_recent"] = with_(PRICES, NEWS, BASICS_LONG, MEMBERS, NEWS_DAYS, STEPS, BMAP) + """
+select r.symbol, r.row_idx as week_idx, r.end_date, b.period as basics_period, coalesce(b.metrics_text, '') as metrics_text
+from (select i.*, (select max(b.period) from bmap b where b.symbol = i.symbol and b.period < i.end_date
+                   and b.period >= (select j.start_date from iv j where j.symbol = i.symbol and j.row_idx = i.row_idx - 2)) as bp
+      from iv i) r left join bmap b on b.symbol = r.symbol and b.period = r.bp"""
 SQL["current_basics"] = with_(BASICS_LONG, BMAP) + f"""
 select c.symbol, c.period, b.metrics_text
 from (select symbol, coalesce(max(case when period <= date '{CURDAY}' then period end), min(period)) as period
@@ -437,12 +449,13 @@ select symbol, week_idx from answers where answer <> ''"""
 
 # 2.5 aggregations
 SQL["collect_news"] = with_(PRICES, NEWS, WEEKLY, NEWS_DAYS, ART_WEEKS) + f"""
-select symbol, week_idx, count(*) as n_news,
-       string_agg(case when rn <= {TOP_K} then concat_ws('|', date, coalesce(headline, 'None'), summary) end,
-                  chr(10) order by rn) as news_list
-from (select *, row_number() over (partition by symbol, week_idx order by {ART_ORDER}) as rn from art_weeks)
-group by symbol, week_idx"""
-SQL["pivot_basics"] = with_(BASICS_LONG, BMAP) + "select symbol, period, metrics_text from bmap"
+select symbol, week_idx, substr(date, 1, 10) as page, count(*) as n_page, any_value(n_news) as n_news,
+       string_agg(concat_ws('|', date, coalesce(headline, 'None'), summary), chr(10) order by {ART_ORDER}) as news_list
+from (select *, count(*) over (partition by symbol, week_idx) as n_news from art_weeks)
+group by symbol, week_idx, substr(date, 1, 10)"""
+SQL["pivot_basics"] = with_(BASICS_LONG, """twice AS (
+  select symbol, period, metric, case when metric = 'peTTM' then v - 0.5 else v end as v from basics_long)""",
+                            BMAP.replace("from basics_long", "from twice")) + "select symbol, period, metrics_text from bmap"
 SQL["evaluate"] = with_(*BASE, ANSWERS, PRED, pairs("position"), REPORT) + "select * from rep"
 SQL["evaluate_with_average"] = with_(*BASE, ANSWERS, PRED, pairs("key"), REPORT) + REPORT_AVG
 
@@ -543,7 +556,13 @@ select a.symbol, a.week_idx,
                       {q('[Prediction & Analysis]:' + chr(10) + 'Prediction: ')} || {CAP} || {q(chr(10) + 'Analysis: ')}, 'g') as answer
 from answers a join (select symbol, week_idx, {PHRASE_V1} as label from weekly where bin_label is not null) w
   on w.symbol = a.symbol and w.week_idx = a.week_idx"""
-SQL["strip_prompt"] = with_(*BASE, ANSWERS) + "select symbol, week_idx, answer from answers"
+SQL["strip_prompt"] = with_(*BASE) + """
+select symbol, week_idx, case when week_idx % 8 = 7 then '' else 'Outlook for ' || symbol || ' week ' || week_idx end as answer
+from prompts"""
+SQL["number_text"] = """
+select l_orderkey, l_linenumber, x, printf('%.2f', x) as money_text, cast(x as varchar) as plain_text
+from (select l_orderkey, l_linenumber, unnest([l_extendedprice::double / 8, l_extendedprice::double / 1000,
+                                              l_extendedprice::double * 1e6]) as x from lineitem)"""
 SQL["predicted_label"] = with_(*BASE, ANSWERS, PRED) + "select symbol, week_idx, answer, pred_label from pred"
 
 # 2.10 composite jobs
@@ -551,18 +570,47 @@ SQL["build_panel"] = SQL["panel_roundtrip"]
 SQL["build_prompts"] = with_(*BASE) + "select symbol, week_idx, start_date, end_date, prompt from prompts"
 SQL["generate_answers"] = with_(*BASE, ANSWERS) + "select symbol, week_idx, prompt, answer from answers"
 SQL["training_rows"] = with_(*BASE, ANSWERS, TRAINING) + "select symbol, week_idx, prompt, answer, period, label from tr"
+OLD_TRAIN = f"""tr_old AS (
+  select a.symbol, a.week_idx,
+         {q(fixed.B_INST + fixed.B_SYS)} || {TRAIN_SYS} || {q(fixed.E_SYS)} || a.prompt || {q(fixed.E_INST)} as prompt,
+         {q('[Prediction & Analysis]:' + chr(10) + 'Prediction: ')} || {CAP} || {q(chr(10) + 'Analysis: ')}
+           || {q('A plain outlook.')} as answer,
+         a.period, a.label
+  from (select symbol, week_idx, regexp_extract(prompt, {q(fixed.ASSUME_PATTERN)}, 1) as period,
+               regexp_extract(prompt, {q(fixed.ASSUME_PATTERN)}, 2) as label,
+               regexp_replace(prompt, {q(fixed.ASSUME_FULL_PATTERN)},
+                      {tpl(fixed.REQUEST_SENTENCE, symbol='symbol', period=f"regexp_extract(prompt, {q(fixed.ASSUME_PATTERN)}, 1)")}, 'g') as prompt
+        from old where regexp_matches(prompt, {q(fixed.ASSUME_PATTERN)})) a
+  join (select symbol, max(asset_class) as asset_class from members group by symbol) c on c.symbol = a.symbol)"""
+SQL["training_rows_regex"] = with_(PRICES, MEMBERS, WEEKLY, OLD, OLD_TRAIN) + """
+select symbol, week_idx, prompt, answer, period, label from tr_old"""
+SQL["training_rejects"] = with_(PRICES, WEEKLY, OLD) + f"""
+select symbol, week_idx, prompt, {q('[Prediction & Analysis]:' + chr(10) + 'A plain outlook.')} as answer
+from old where prompt is not null and not regexp_matches(prompt, {q(fixed.ASSUME_PATTERN)})"""
 SQL["create_dataset"] = with_(*BASE, ANSWERS, TRAINING) + "select * from ds"
 SQL["evaluation_report"] = SQL["evaluation_roundtrip"]
 SQL["recent_panel"] = with_(PRICES, NEWS, MEMBERS, NEWS_DAYS, STEPS) + """
 select i.symbol, i.row_idx, i.start_date, i.end_date, i.start_price, i.end_price,
-       (select count(*) from iv_news n where n.symbol = i.symbol and n.row_idx = i.row_idx) as n_news
-from iv i"""
+       coalesce(n.n_news, 0) as n_news, coalesce(n.news_digest, 0) as news_digest
+from iv i left join (select symbol, row_idx, count(*) as n_news, """ + DIGEST + """ as news_digest
+                     from iv_news group by 1, 2) n on n.symbol = i.symbol and n.row_idx = i.row_idx"""
 SQL["online_prompts"] = with_(PRICES, NEWS, BASICS_LONG, PROFILES, MEMBERS, NEWS_DAYS, STEPS, BMAP,
                               "cls AS (select symbol, max(asset_class) as asset_class from members group by symbol)",
                               ONLINE) + f"select symbol, info, info || {ONLINE_END} as prompt from info"
 SQL["full_run"] = with_(*BASE, ANSWERS, TRAINING) + """
 select * from ds where symbol in (select symbol from members where index_name = 'dow')"""
 
+RANGE = PRICES.replace("from lineitem join part on l_partkey = p_partkey",
+                                             "from lineitem join part on l_partkey = p_partkey\n"
+                                             f"  where cast(l_shipdate as date) >= date '{RUN_START}' "
+                                             f"and cast(l_shipdate as date) < date '{RUN_END}'")
+SQL["full_run_range"] = with_(RANGE, *BASE[1:], ANSWERS, TRAINING) + """
+select * from ds where symbol in (select symbol from members where index_name = 'dow')"""
+SQL["full_run_euro"] = with_(*BASE, ANSWERS, TRAINING) + """
+select * from ds where symbol in (select symbol from members where index_name = 'euro')"""
+SQL["full_run_crypto"] = with_(*BASE, ANSWERS, TRAINING) + """
+select * from ds where symbol in (select symbol from members where index_name = 'crypto')"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

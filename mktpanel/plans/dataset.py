@@ -58,8 +58,13 @@ def training_rows(answers: DataFrame, weeks: DataFrame | None, members: DataFram
 
 
 def create_dataset(rows: DataFrame, train_ratio: float = 0.8) -> DataFrame:
-    """Per symbol, the first ``round(ratio * n)`` rows by week are train, the rest test."""
-    return chrono_split(rows, train_ratio).select(*DATASET_COLUMNS)
+    """Per symbol, the first ``round(ratio * n)`` rows by week are train, the rest test.
+
+    Only keys are counted and ranked; the split comes back to the texts by key,
+    so no text is sorted or held by a symbol's window.
+    """
+    split = chrono_split(rows.select("symbol", "week_idx"), train_ratio)
+    return rows.join(split, ["symbol", "week_idx"]).select(*DATASET_COLUMNS)
 
 
 def old_form_prompts(weeks: DataFrame) -> DataFrame:

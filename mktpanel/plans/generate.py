@@ -3,8 +3,9 @@
 The text generator is user code: a factory called once per partition (load
 the model there) that returns a function from a pandas batch to generated
 texts.  It runs through ``mapInPandas`` on Arrow batches; a failing batch is
-retried row by row and a failing row yields ``''``, so one bad prompt never
-fails the task.  Only prompts without an answer are sent (left-anti join on
+halved until the failing rows stand alone, and a row that fails, has no prompt
+or gets anything but text yields ``''``, so one bad prompt never fails the
+task.  Only prompts without an answer are sent (left-anti join on
 the key), so a second run over the same answers generates nothing.
 """
 
@@ -35,29 +36,36 @@ def _run(factory: GeneratorFactory, batches: Iterator[pd.DataFrame]) -> Iterator
     """
     fn = factory()
     for pdf in batches:
-        feed = pdf[["symbol", "week_idx", "full_prompt"]]
-        try:
-            out = list(fn(feed))
-            if len(out) != len(pdf):
-                raise ValueError("generator returned a different number of texts")
-        except Exception:  # noqa: BLE001 - a failed batch is retried per row
-            out = []
-            for i in range(len(pdf)):
-                try:
-                    out.append(list(fn(feed.iloc[i:i + 1]))[0])
-                except Exception:  # noqa: BLE001 - failed row -> empty answer
-                    out.append(None)
         full = pdf["full_prompt"].tolist()
-        starts = pdf["prompt_start"].tolist()
+        asked = [i for i, f in enumerate(full) if isinstance(f, str)]
+        out: list = [None] * len(full)
+        for i, text in zip(asked, _generated(fn, pdf[["symbol", "week_idx", "full_prompt"]].iloc[asked]), strict=True):
+            out[i] = text
         yield pd.DataFrame({
             "symbol": pdf["symbol"].values,
             "week_idx": pdf["week_idx"].values,
-            "prompt": [f[s:] for f, s in zip(full, starts)],
+            "prompt": [f[int(s):] if isinstance(f, str) else None for f, s in zip(full, pdf["prompt_start"].tolist(), strict=True)],
             # text after the full prompt, as the model echoes the prompt first
-            "tail": [None if g is None else g[len(f):] for g, f in zip(out, full)],
+            "tail": [g[len(f):] if isinstance(g, str) else None for g, f in zip(out, full, strict=True)],
         })
 
 
+def _generated(fn: BatchFn, feed: pd.DataFrame) -> list:
+    """One text or None per row; a batch that fails is halved."""
+    if not len(feed):
+        return []
+    try:
+        out = list(fn(feed))
+        if len(out) == len(feed):
+            return out
+    except Exception:  # noqa: BLE001 - halved below; a single failing row has no text
+        pass
+    if len(feed) == 1:
+        return [None]
+    half = len(feed) // 2
+    return _generated(fn, feed.iloc[:half]) + _generated(fn, feed.iloc[half:])
+
+
 def generate_answers(prompts: DataFrame, answers: DataFrame | None, factory: GeneratorFactory,
                      partitions: int | None = None) -> DataFrame:
     """New answers for pending prompts (P4): ``(symbol, week_idx, prompt, answer)``.
@@ -65,16 +73,17 @@ def generate_answers(prompts: DataFrame, answers: DataFrame | None, factory: Gen
     ``prompts`` needs ``symbol, week_idx, asset_class, prompt``.  The full
     prompt is the system prompt for the asset class, a blank line, then the
     prompt; the answer is the generated text after it, stripped (C18), and a
-    failed call gives ``''``.  ``partitions`` sets how many generator tasks
-    run in parallel.
+    failed call gives ``''``.  Prompts are dealt to ``partitions`` generator tasks by
+    key (default: the session's shuffle partitions), so a hot symbol does not
+    limit how many run at once.
     """
     todo = prompts if answers is None else pending_prompts(prompts, answers)
     system = T.system_prompt("asset_class")
     todo = todo.select("symbol", "week_idx",
                        (F.length(system) + 2).alias("prompt_start"),
                        F.concat(system, F.lit("\n\n"), F.col("prompt")).alias("full_prompt"))
-    if partitions:
-        todo = todo.repartition(partitions, "symbol", "week_idx")
+    n = partitions or int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    todo = todo.repartition(n, "symbol", "week_idx")
     gen = todo.mapInPandas(lambda it: _run(factory, it), GEN_SCHEMA)
     return gen.select("symbol", "week_idx", "prompt", F.coalesce(T.py_strip("tail"), F.lit("")).alias("answer"))
 
@@ -103,14 +112,12 @@ def canned_generator() -> BatchFn:
     """Deterministic stand-in for a language model: echoes the prompt, appends a canned answer.
 
     The canned text goes under an analysis heading so training rows get a
-    label injected; the failing choice raises, like a crashed model call.
+    label injected; the failing choice gives no text, like a crashed call.
     """
     def fn(pdf: pd.DataFrame) -> list:
         out = []
         for s, w, p in zip(pdf["symbol"], pdf["week_idx"], pdf["full_prompt"]):
             a = CANNED_ANSWERS[canned_index(s, w)]
-            if a is None:
-                raise RuntimeError("generation failed")
-            out.append(p + ("\n\n[Prediction & Analysis]:\n" + a + "\n" if a else "\n"))
+            out.append(None if a is None else p + ("\n\n[Prediction & Analysis]:\n" + a + "\n" if a else "\n"))
         return out
     return fn

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mktpanel.functions import fixed
 from mktpanel.operators.aggregates import pivot_basics
 from mktpanel.operators.filters import with_empty_basics
 from mktpanel.operators.joins import attach_basics, attach_news
@@ -49,10 +50,17 @@ def build_panel(prices: DataFrame, news: DataFrame, basics_long: DataFrame | Non
     return Panel(weeks, attach_news(weekly.select("symbol", "week_idx", "start_date", "end_date"), news), weekly)
 
 
+def articles_digest() -> Column:
+    """Aggregate over articles: the sum of 32 bits of each one's MD5, whatever their order."""
+    text = F.concat_ws("|", "date", F.coalesce("headline", F.lit(fixed.NULL_TEXT)), F.coalesce("summary", F.lit(fixed.NULL_TEXT)))
+    return F.sum(F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("bigint"))
+
+
 def panel_summary(panel: Panel) -> DataFrame:
-    """Flat view of a panel: weekly columns, basics period and article count per week."""
-    counts = panel.news.groupBy("symbol", "week_idx").agg(F.count(F.lit(1)).alias("n_news"))
+    """Flat view of a panel: weekly columns, basics period, article count and digest per week."""
+    counts = panel.news.groupBy("symbol", "week_idx").agg(F.count(F.lit(1)).alias("n_news"),
+                                                          articles_digest().alias("news_digest"))
     w = panel.weeks.join(counts, ["symbol", "week_idx"], "left")
     return w.select("symbol", "week_idx", "start_date", "start_price", "end_date", "end_price",
                     "weekly_return", "bin_label", F.coalesce("n_news", F.lit(0)).alias("n_news"),
-                    "basics_period")
+                    F.coalesce("news_digest", F.lit(0)).alias("news_digest"), "basics_period")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mktpanel.functions import fixed
 from mktpanel.functions import text as T
-from mktpanel.operators.aggregates import collect_news
+from mktpanel.operators.aggregates import first_news
 from mktpanel.operators.filters import drop_boilerplate
 from mktpanel.operators.joins import attach_profile
 from mktpanel.operators.windows import history_gate, history_window
@@ -25,7 +25,7 @@ def week_blocks(panel: Panel, k: int = fixed.NEWS_TOP_K) -> DataFrame:
     """Panel weeks + ``header``, ``news_text`` and ``block`` (header, newline, news)."""
     arts = drop_boilerplate(panel.news, fixed.BOILERPLATE_SHORT)
     arts = arts.withColumn("text", T.article_text("headline", "summary", "later"))
-    lists = collect_news(arts, k=k, text_col="text", with_count=False)
+    lists = first_news(arts, k=k, text_col="text")
     weeks = panel.weeks.join(lists, ["symbol", "week_idx"], "left")
     header = T.week_header("symbol", "start_date", "end_date", "start_price", "end_price", "later")
     ntext = T.news_text(F.transform("news", lambda e: e["text"]), fixed.NO_NEWS_LATER)
@@ -50,11 +50,9 @@ def build_prompts(panel: Panel, profiles: DataFrame, members: DataFrame,
     header and news (they reveal the label being predicted).
     Returns ``(symbol, week_idx, start_date, end_date, asset_class, prompt)``.
     """
-    weeks = week_blocks(panel)
-    weeks = with_asset_class(weeks, members)
-    weeks = attach_profile(weeks, profiles)
-    weeks = history_window(weeks, "block", max_weeks)
-    weeks = history_gate(weeks, min_weeks)
+    weeks = history_gate(history_window(week_blocks(panel), "block", max_weeks), min_weeks)
+    # After the window: profile columns need not ride through its sort.
+    weeks = attach_profile(with_asset_class(weeks, members), profiles)
     basics = F.when(F.col("asset_class") == "crypto", F.lit(fixed.HIGHLIGHTS_EMPTY)).otherwise(
         T.basics_highlights("basics_period", "basics_metrics"))
     parts = [intro_text(), F.lit("\n\n"), F.array_join("history", "\n\n"), F.lit("\n\n")]

@@ -16,6 +16,7 @@ from mktpanel.plans.dataset import create_dataset, training_rows
 from mktpanel.plans.generate import GeneratorFactory, generate_answers
 from mktpanel.plans.panel import Panel, build_panel
 from mktpanel.plans.prompts import build_prompts
+from mktpanel.session import materialize
 from mktpanel.sources import readers as R
 from mktpanel.sources.universe import universe
 
@@ -33,8 +34,11 @@ def run_all(spark: SparkSession, prices: DataFrame, news: DataFrame, basics_long
             profiles: DataFrame, members: DataFrame, base_dir: str, factory: GeneratorFactory,
             index_name: str = "dow", start_date: str | None = None, end_date: str | None = None,
             min_weeks: int = fixed.DEFAULT_MIN_WEEKS, max_weeks: int = fixed.DEFAULT_MAX_WEEKS,
-            train_ratio: float = fixed.DEFAULT_TRAIN_RATIO) -> DataFrame:
-    """Run every stage for one index and date range; returns the dataset as written."""
+            train_ratio: float = fixed.DEFAULT_TRAIN_RATIO, partitions: int | None = None) -> DataFrame:
+    """Run every stage for one index and date range; returns the dataset as written.
+
+    ``partitions``: number of generator tasks (see ``generate_answers``).
+    """
     members_u = universe(members, index_name)          # raises on a bad index name
     with_basics = index_name != "crypto"
     label = fixed.INDEX_LABELS[index_name]
@@ -42,28 +46,31 @@ def run_all(spark: SparkSession, prices: DataFrame, news: DataFrame, basics_long
     panel_dir = f"{base_dir.rstrip('/')}/{tag}/panel"
     answers_dir = f"{base_dir.rstrip('/')}/{tag}/answers"
 
-    # 1. acquire panels for symbols not yet written
+    # 1. acquire panels for symbols not yet written (S12).  A symbol is done when its weeks are there,
+    # and these are written last; a pending symbol's partitions are replaced, so what a stopped run
+    # left of its news is not doubled.
     syms = members_u.select("symbol")
     if _exists(spark, f"{panel_dir}/weeks", R.PANEL_WEEKS_SCHEMA):
         done, _ = R.read_panel(spark, panel_dir)
         syms = R.pending_symbols(syms, done)
-    p = prices.join(F.broadcast(syms), "symbol", "left_semi")   # universe: a bounded symbol list
+    syms = materialize(syms, "pending-symbols")   # its source is written to below
+    p = prices.join(syms, "symbol", "left_semi")
     if start_date:
         p = p.where(F.col("date") >= F.lit(start_date).cast("date"))
     if end_date:
         p = p.where(F.col("date") < F.lit(end_date).cast("date"))
-    n = news.join(F.broadcast(syms), "symbol", "left_semi")
-    b = basics_long.join(F.broadcast(syms), "symbol", "left_semi") if with_basics else None
+    n = news.join(syms, "symbol", "left_semi")
+    b = basics_long.join(syms, "symbol", "left_semi") if with_basics else None
     fresh = build_panel(p, n, b, with_basics=with_basics)
-    fresh.weeks.write.mode("append").partitionBy("symbol").parquet(f"{panel_dir}/weeks")
-    fresh.news.write.mode("append").partitionBy("symbol").parquet(f"{panel_dir}/news")
+    R.replace_symbols(fresh.news, f"{panel_dir}/news")
+    R.replace_symbols(fresh.weeks, f"{panel_dir}/weeks")
     weeks, wnews = R.read_panel(spark, panel_dir)
     panel = Panel(weeks, wnews)
 
     # 2. prompts and answers for prompts not yet answered
     prompts = build_prompts(panel, profiles, members, min_weeks, max_weeks)
     old = R.read_answers(spark, answers_dir) if _exists(spark, answers_dir, R.ANSWERS_SCHEMA) else None
-    R.append_answers(generate_answers(prompts, old, factory), answers_dir)
+    R.append_answers(generate_answers(prompts, old, factory, partitions), answers_dir)
     answers = R.read_answers(spark, answers_dir)
 
     # 3. training rows and split

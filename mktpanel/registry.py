@@ -39,6 +39,7 @@ QUERIES: dict[str, Query] = {}
 
 # Parameters of the registered queries (the run defaults where one exists).
 SCAN_START, SCAN_END = "1996-01-01", "2000-01-01"
+RUN_START, RUN_END = "1998-01-01", "1999-07-01"
 CURDAY = "1999-06-16"
 ONLINE_WEEKS = fixed.DEFAULT_ONLINE_WEEKS
 MIN_WEEKS, MAX_WEEKS, RATIO = fixed.DEFAULT_MIN_WEEKS, fixed.DEFAULT_MAX_WEEKS, fixed.DEFAULT_TRAIN_RATIO
@@ -151,9 +152,8 @@ def q_scan_prices(spark, d):
 
 @register("unpivot_prices")
 def q_unpivot_prices(spark, d):
-    prices = fx.prices(spark, d)
-    symbols = sorted(r.symbol for r in fx.index_members(spark, d).select("symbol").collect())
-    return R.unpivot_prices(R.to_wide(prices, symbols)).select("symbol", "date", "close", "adj_close", "volume")
+    by_date = R.prices_by_date(fx.prices(spark, d))
+    return R.unpivot_price_maps(by_date).select("symbol", "date", "close", "adj_close", "volume")
 
 
 @register("price_field")
@@ -196,6 +196,15 @@ def q_panel_roundtrip(spark, d):
     return P.panel_summary(P.Panel(weeks, news))
 
 
+@register("panel_json_roundtrip")
+def q_panel_json_roundtrip(spark, d):
+    path = shared_dir(spark, "panel-json")
+    panel = Ctx(spark, d).panel
+    R.write_panel_json(panel.weeks, panel.news, path)
+    weeks, news = R.read_panel_json(spark, path)
+    return P.panel_summary(P.Panel(weeks, news))
+
+
 @register("answers_append")
 def q_answers_append(spark, d):
     path = shared_dir(spark, "answers")
@@ -223,8 +232,14 @@ def q_evaluation_roundtrip(spark, d):
 
 @register("pending_symbols")
 def q_pending_symbols(spark, d):
-    # Symbols whose news is already acquired count as done.
-    return R.pending_symbols(fx.index_members(spark, d), fx.news(spark, d))
+    # Symbols of one index have their panel written already.
+    c = Ctx(spark, d)
+    path = shared_dir(spark, "panel")
+    done = c.members.where(F.col("index_name") == "dow").select("symbol")
+    panel = P.build_panel(c.prices.join(done, "symbol", "left_semi"), c.news.join(done, "symbol", "left_semi"),
+                          None, with_basics=False)
+    R.write_panel(panel.weeks, panel.news, path)
+    return R.pending_symbols(c.members, R.read_panel(spark, path)[0])
 
 
 # ------------------------------------------------------------ 2.2 filters
@@ -243,7 +258,12 @@ def q_drop_boilerplate(spark, d):
 
 @register("news_cutoff")
 def q_news_cutoff(spark, d):
-    return FL.news_cutoff(Ctx(spark, d).recent.news).select("symbol", "row_idx", "date", "headline", "summary")
+    # Every article of the weeks around the day meets every interval of its symbol that began before it.
+    c = Ctx(spark, d)
+    day = F.lit(CURDAY).cast("date")
+    near = J.article_days(c.news).where(F.col("day").between(F.date_sub(day, 7 * ONLINE_WEEKS), F.date_add(day, 14)))
+    uncut = near.join(c.recent.intervals, "symbol").where(F.col("day") >= F.col("start_date"))
+    return FL.news_cutoff(uncut).select("symbol", "row_idx", "date", "headline", "summary")
 
 
 @register("usable_answers")
@@ -293,7 +313,8 @@ def q_asof_forward(spark, d):
 
 @register("recent_intervals")
 def q_recent_intervals(spark, d):
-    return TS.recent_intervals(fx.index_members(spark, d), fx.prices(spark, d), CURDAY, ONLINE_WEEKS)
+    c = Ctx(spark, d)
+    return TS.recent_intervals(c.members, c.prices, CURDAY, ONLINE_WEEKS)
 
 
 # ------------------------------------------------------------ 2.4 joins
@@ -305,7 +326,8 @@ def q_news_interval_join(spark, d):
 
 
 def _basics_asof(spark, d, always):
-    w = J.attach_basics(_weekly(spark, d), A.pivot_basics(fx.basics_long(spark, d)), always=always)
+    c = Ctx(spark, d)
+    w = J.attach_basics(TS.weekly_returns(c.prices), A.pivot_basics(c.basics_long), always=always)
     return w.select("symbol", "week_idx", "end_date", "basics_period",
                     T.metrics_lines("basics_metrics").alias("metrics_text"))
 
@@ -320,6 +342,16 @@ def q_basics_asof_always(spark, d):
     return _basics_asof(spark, d, True)
 
 
+@register("basics_asof_recent")
+def q_basics_asof_recent(spark, d):
+    # Irregular rows: the row two back does not start three weeks before.
+    c = Ctx(spark, d)
+    rows = c.recent.intervals.withColumnRenamed("row_idx", "week_idx")
+    w = J.attach_basics(rows, A.pivot_basics(c.basics_long))
+    return w.select("symbol", "week_idx", "end_date", "basics_period",
+                    T.metrics_lines("basics_metrics").alias("metrics_text"))
+
+
 @register("current_basics")
 def q_current_basics(spark, d):
     cur = J.current_basics(A.pivot_basics(fx.basics_long(spark, d)), CURDAY)
@@ -355,15 +387,17 @@ def q_pending_prompts(spark, d):
 
 @register("collect_news")
 def q_collect_news(spark, d):
-    lists = A.collect_news(_article_weeks(spark, d), k=TOP_K)
+    lists = A.collect_news(_article_weeks(spark, d))
     item = lambda e: F.concat_ws("|", e["date"], F.coalesce(e["headline"], F.lit("None")), e["summary"])
-    return lists.select("symbol", "week_idx", "n_news", _list_text(F.transform("news", item)).alias("news_list"))
+    return lists.select("symbol", "week_idx", "page", "n_page", "n_news", _list_text(F.transform("news", item)).alias("news_list"))
 
 
 @register("pivot_basics")
 def q_pivot_basics(spark, d):
-    b = A.pivot_basics(fx.basics_long(spark, d))
-    return b.select("symbol", "period", T.metrics_lines("metrics").alias("metrics_text"))
+    # One metric is listed again with a later, smaller value.
+    b = Ctx(spark, d).basics_long.withColumn("pos", F.lit(0))
+    later = b.where(F.col("metric") == "peTTM").withColumn("v", F.col("v") - 0.5).withColumn("pos", F.lit(1))
+    return A.pivot_basics(b.unionByName(later)).select("symbol", "period", T.metrics_lines("metrics").alias("metrics_text"))
 
 
 @register("evaluate")
@@ -429,11 +463,11 @@ def q_sample_news(spark, d):
 
 @register("union_symbols")
 def q_union_symbols(spark, d):
-    prices = fx.prices(spark, d)
-    members = fx.index_members(spark, d)
+    c = Ctx(spark, d)
+    prices, members = c.prices, c.members
     dow = members.where(F.col("index_name") == "dow").select("symbol")
-    a = TS.weekly_returns(prices.join(F.broadcast(dow), "symbol", "left_semi"))
-    b = TS.weekly_returns(prices.join(F.broadcast(dow), "symbol", "left_anti"))
+    a = TS.weekly_returns(prices.join(dow, "symbol", "left_semi"))
+    b = TS.weekly_returns(prices.join(dow, "symbol", "left_anti"))
     return a.unionByName(b)
 
 
@@ -470,19 +504,22 @@ def q_news_text(spark, d):
 
 @register("basics_text")
 def q_basics_text(spark, d):
-    w = J.attach_basics(_weekly(spark, d), A.pivot_basics(fx.basics_long(spark, d)), always=True)
+    c = Ctx(spark, d)
+    w = J.attach_basics(TS.weekly_returns(c.prices), A.pivot_basics(c.basics_long), always=True)
     return w.select("symbol", "week_idx", T.basics_text("symbol", "basics_period", "basics_metrics").alias("basics_text"))
 
 
 @register("basics_highlights")
 def q_basics_highlights(spark, d):
-    w = J.attach_basics(_weekly(spark, d), A.pivot_basics(fx.basics_long(spark, d)))
+    c = Ctx(spark, d)
+    w = J.attach_basics(TS.weekly_returns(c.prices), A.pivot_basics(c.basics_long))
     return w.select("symbol", "week_idx", T.basics_highlights("basics_period", "basics_metrics").alias("highlights"))
 
 
 @register("basics_highlights_list")
 def q_basics_highlights_list(spark, d):
-    w = J.attach_basics(_weekly(spark, d), A.pivot_basics(fx.basics_long(spark, d)), always=True)
+    c = Ctx(spark, d)
+    w = J.attach_basics(TS.weekly_returns(c.prices), A.pivot_basics(c.basics_long), always=True)
     h = T.basics_highlights_list("basics_metrics")
     return w.select("symbol", "week_idx", F.size(h).alias("n_highlights"), _list_text(h).alias("highlights"))
 
@@ -531,7 +568,20 @@ def q_inject_label(spark, d):
 
 @register("strip_prompt")
 def q_strip_prompt(spark, d):
-    return Ctx(spark, d).answers.select("symbol", "week_idx", "answer")
+    # Generated texts echo the prompt; every eighth call failed.
+    p = Ctx(spark, d).prompts
+    said = F.concat("prompt", F.lit("\n\t Outlook for "), "symbol", F.lit(" week "), F.col("week_idx").cast("string"),
+                    F.lit(" \r\n"))
+    generated = F.when(F.col("week_idx") % 8 != 7, said)
+    return p.select("symbol", "week_idx", T.strip_prompt(generated, "prompt").alias("answer"))
+
+
+@register("number_text")
+def q_number_text(spark, d):
+    price = F.col("l_extendedprice").cast("double")
+    rows = fx.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.explode(F.array(price / 8, price / 1000, price * 1e6)).alias("x"))
+    return rows.select("l_orderkey", "l_linenumber", "x", T.money("x").alias("money_text"), T.num_text("x").alias("plain_text"))
 
 
 @register("predicted_label")
@@ -568,6 +618,25 @@ def q_training_rows(spark, d):
     return Ctx(spark, d).training
 
 
+def _old_form_rows(spark, d):
+    # Prompts in the old request form, each with one answer; weeks without a class phrase have no match.
+    c = Ctx(spark, d)
+    old = D.old_form_prompts(TS.weekly_returns(c.prices))
+    answers = old.select("symbol", "week_idx", "prompt", F.lit("[Prediction & Analysis]:\nA plain outlook.").alias("answer"))
+    answers = answers.where(F.col("prompt").isNotNull())
+    return D.training_rows(answers, None, c.members, label_source="regex")
+
+
+@register("training_rows_regex")
+def q_training_rows_regex(spark, d):
+    return _old_form_rows(spark, d).rows
+
+
+@register("training_rejects")
+def q_training_rejects(spark, d):
+    return _old_form_rows(spark, d).rejects
+
+
 @register("create_dataset")
 def q_create_dataset(spark, d):
     return D.create_dataset(Ctx(spark, d).training, RATIO)
@@ -582,10 +651,11 @@ def q_evaluation_report(spark, d):
 @register("recent_panel")
 def q_recent_panel(spark, d):
     rp = Ctx(spark, d).recent
-    n = rp.news.groupBy("symbol", "row_idx").agg(F.count(F.lit(1)).alias("n_news"))
+    n = rp.news.groupBy("symbol", "row_idx").agg(F.count(F.lit(1)).alias("n_news"), P.articles_digest().alias("news_digest"))
     out = rp.intervals.join(n, ["symbol", "row_idx"], "left")
     return out.select("symbol", "row_idx", "start_date", "end_date", "start_price", "end_price",
-                      F.coalesce("n_news", F.lit(0)).alias("n_news"))
+                      F.coalesce("n_news", F.lit(0)).alias("n_news"),
+                      F.coalesce("news_digest", F.lit(0)).alias("news_digest"))
 
 
 @register("online_prompts")
@@ -594,9 +664,28 @@ def q_online_prompts(spark, d):
     return ON.online_prompts(c.recent, c.profiles, c.basics_long, c.members, CURDAY, with_basics=True, seed=SEED)
 
 
+def _full_run(spark, d, index_name, start=None, end=None):
+    c = Ctx(spark, d)
+    return RUN.run_all(spark, c.prices, c.news, c.basics_long, c.profiles, c.members, shared_dir(spark, "run"),
+                       G.canned_generator, index_name=index_name, start_date=start, end_date=end,
+                       min_weeks=MIN_WEEKS, max_weeks=MAX_WEEKS, train_ratio=RATIO)
+
+
 @register("full_run")
 def q_full_run(spark, d):
-    base = shared_dir(spark, "run")
-    return RUN.run_all(spark, fx.prices(spark, d), fx.news(spark, d), fx.basics_long(spark, d),
-                       fx.profiles(spark, d), fx.index_members(spark, d), base, G.canned_generator,
-                       index_name="dow", min_weeks=MIN_WEEKS, max_weeks=MAX_WEEKS, train_ratio=RATIO)
+    return _full_run(spark, d, "dow")
+
+
+@register("full_run_range")
+def q_full_run_range(spark, d):
+    return _full_run(spark, d, "dow", RUN_START, RUN_END)
+
+
+@register("full_run_euro")
+def q_full_run_euro(spark, d):
+    return _full_run(spark, d, "euro")
+
+
+@register("full_run_crypto")
+def q_full_run_crypto(spark, d):
+    return _full_run(spark, d, "crypto")

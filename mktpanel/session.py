@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -17,9 +16,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
-    # Prompt text is built after the last shuffle and is many times larger than
-    # the shuffled rows, so small post-shuffle partitions keep that work spread.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # The UI is off; keep the driver's job/stage/SQL status store small so long
     # sessions with many queries do not slow down as it grows.
     "spark.sql.ui.retainedExecutions": "20",
@@ -61,6 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="mktpanel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -68,18 +66,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one written table."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/mktpanel/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared checkpoint folder for one written table.
 
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    The application owns it: the file system removes the folder when the driver
+    ends.  Callers that keep a table name a path of their own.
+    """
+    path = f"{checkpoint_root(spark).rstrip('/')}/mktpanel/{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+    return path
 
 
 def materialize(df, name: str = "stage"):

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Summary text of every tenth article; starts with the long boilerplate prefix.
-BOILERPLATE_SUMMARY = "Looking for stock market analysis and research with proves results? "
+from mktpanel.functions import fixed
+
 # First news second: 1999-01-03 00:00:00 UTC (a Sunday); articles spread over 420 days.
 NEWS_EPOCH0 = 915321600
 NEWS_DAYS = 420
@@ -61,17 +61,21 @@ def prices(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) ->
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """news(symbol, datetime epoch s, headline, summary), one article per document.
 
-    Every seventeenth headline is NULL and every tenth summary is boilerplate.
+    Half of the articles are on one symbol, the others on all 25 in turn.  The
+    headline is the whole first line, the summary the whole text on one line;
+    every seventeenth headline is NULL and every tenth summary begins with the
+    boilerplate.
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     doc = F.col("doc_id")
+    whole = F.replace("text", F.lit("\n"), F.lit(" "))
+    brand = F.when(doc % 2 == 0, F.lit(1)).otherwise(F.lit(1) + F.floor(doc / 2) % 25)
     return d.select(
-        F.concat(F.lit("Brand#"), (F.lit(1) + doc % 3).cast("string")).alias("symbol"),
+        F.concat(F.lit("Brand#"), brand.cast("string")).alias("symbol"),
         (F.lit(NEWS_EPOCH0) + ((doc * 7919) % NEWS_DAYS) * 86400 + (doc * 37) % 86400).alias("datetime"),
         F.when(doc % 17 == 0, F.lit(None).cast("string"))
-         .otherwise(F.split_part(F.substr("text", F.lit(1), F.lit(60)), F.lit("\n"), F.lit(1))).alias("headline"),
-        F.when(doc % 10 == 0, F.concat(F.lit(BOILERPLATE_SUMMARY), doc.cast("string")))
-         .otherwise(F.replace(F.substr("text", F.lit(1), F.lit(120)), F.lit("\n"), F.lit(" "))).alias("summary"))
+         .otherwise(F.split_part("text", F.lit("\n"), F.lit(1))).alias("headline"),
+        F.when(doc % 10 == 0, F.concat(F.lit(fixed.BOILERPLATE_LONG), whole)).otherwise(whole).alias("summary"))
 
 
 def basics_long(spark: SparkSession, sf_dir: str, counts: DataFrame | None = None) -> DataFrame:
@@ -116,8 +120,3 @@ def index_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (part.select(F.col("p_brand").alias("symbol"), idx.alias("index_name")).distinct()
                 .withColumn("asset_class",
                             F.when(F.col("index_name") == "crypto", F.lit("crypto")).otherwise(F.lit("company"))))
-
-
-def brand_number(symbol) -> "F.Column":
-    s = F.col(symbol) if isinstance(symbol, str) else symbol
-    return F.substr(s, F.lit(7)).cast("int")

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mktpanel.operators.aggregates import collect_news
+
 PRICE_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("date", T.DateType()),
@@ -118,6 +120,27 @@ def to_wide(prices: DataFrame, symbols: list[str]) -> DataFrame:
     return g.select(*ren)
 
 
+def prices_by_date(prices: DataFrame) -> DataFrame:
+    """Long prices -> one row per date with a map ``"<symbol>|<field>" -> value`` (the wide shape as a map).
+
+    A map holds one entry per symbol and field of a day; the plan does not grow with the symbols.
+    """
+    fields = [F.struct(F.concat("symbol", F.lit("|" + wide)).alias("key"), F.col(long_name).cast("double").alias("value"))
+              for wide, long_name in WIDE_FIELDS.items() if long_name in prices.columns]
+    entries = prices.select("date", F.explode(F.array(*fields)).alias("e")).where(F.col("e.value").isNotNull())
+    return entries.groupBy("date").agg(F.map_from_entries(F.collect_list("e")).alias("values"))
+
+
+def unpivot_price_maps(by_date: DataFrame) -> DataFrame:
+    """``prices_by_date`` rows -> long prices (S2); a field that a symbol lacks is NULL."""
+    cells = by_date.select("date", F.explode("values").alias("key", "value"))
+    name = F.regexp_extract("key", r"^(.*)\|([^|]*)$", 1)
+    field = F.regexp_extract("key", r"^(.*)\|([^|]*)$", 2)
+    one = {long_name: F.max(F.when(field == wide, F.col("value"))) for wide, long_name in WIDE_FIELDS.items()}
+    return cells.groupBy(name.alias("symbol"), "date").agg(
+        *[v.cast("bigint" if k == "volume" else "double").alias(k) for k, v in one.items()])
+
+
 def parse_news_payload(df: DataFrame, payload_col: str = "payload", symbol_col: str = "symbol") -> DataFrame:
     """Provider news payload (JSON list per row) -> one row per article.
 
@@ -188,8 +211,18 @@ def read_profiles(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
 
 def write_panel(weeks: DataFrame, news: DataFrame, path: str) -> None:
     """Panel sink (S8): weeks and their articles, parquet partitioned by symbol."""
-    weeks.write.mode("overwrite").partitionBy("symbol").parquet(f"{path}/weeks")
-    news.write.mode("overwrite").partitionBy("symbol").parquet(f"{path}/news")
+    replace_symbols(news, f"{path}/news")
+    replace_symbols(weeks, f"{path}/weeks")
+
+
+def replace_symbols(df: DataFrame, path: str) -> None:
+    """Write ``df`` partitioned by symbol, replacing the symbols that it holds and no others.
+
+    Rows are rebalanced by symbol first: a symbol's rows come from few tasks,
+    and adaptive execution splits a hot one, so there are few small files.
+    """
+    (df.hint("rebalance", "symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("symbol").parquet(path))
 
 
 def read_panel(spark: SparkSession, path: str, symbols=None):
@@ -205,6 +238,42 @@ def read_panel(spark: SparkSession, path: str, symbols=None):
     return weeks, news
 
 
+PANEL_CSV = ("symbol string, week_idx int, start_date date, start_price double, end_date date, end_price double, "
+             "weekly_return double, bin_label string, basics string")
+NEWS_CSV = "symbol string, week_idx int, start_date date, end_date date, page string, news string"
+_BASICS_CELL = "struct<period:date,metrics:map<string,double>>"
+_NEWS_CELL = "array<struct<date:string,headline:string,summary:string>>"
+_CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "emptyValue": "", "nullValue": "\\N",
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def write_panel_json(weeks: DataFrame, news: DataFrame, path: str) -> None:
+    """Panel as CSV with JSON cells (S8, C23): a basics cell per week, a news cell per week and stamp hour.
+
+    The news cells of a week in page order are its whole list; pages keep a hot
+    week out of one cell.
+    """
+    keep = {"ignoreNullFields": "false"}
+    basics = F.to_json(F.struct(F.col("basics_period").alias("period"), F.col("basics_metrics").alias("metrics")), keep)
+    cols = [c.split()[0] for c in PANEL_CSV.split(", ")[:-1]]
+    weeks.select(*cols, basics.alias("basics")).write.mode("overwrite").options(**_CSV).csv(f"{path}/weeks")
+    pages = collect_news(news, by=("symbol", "week_idx", "start_date", "end_date"))
+    pages.select("symbol", "week_idx", "start_date", "end_date", "page", F.to_json("news", keep).alias("news")) \
+         .write.mode("overwrite").options(**_CSV).csv(f"{path}/news")
+
+
+def read_panel_json(spark: SparkSession, path: str):
+    """(weeks, news) of ``write_panel_json``, with the cells parsed."""
+    weeks = spark.read.schema(PANEL_CSV).options(**_CSV).csv(f"{path}/weeks")
+    cell = F.from_json("basics", _BASICS_CELL)
+    weeks = weeks.withColumn("_b", cell).select(*[c for c in weeks.columns if c != "basics"],
+                                                F.col("_b.period").alias("basics_period"),
+                                                F.col("_b.metrics").alias("basics_metrics"))
+    pages = spark.read.schema(NEWS_CSV).options(**_CSV).csv(f"{path}/news")
+    news = pages.select("symbol", "week_idx", "start_date", "end_date", F.explode(F.from_json("news", _NEWS_CELL)).alias("a"))
+    return weeks, news.select("symbol", "week_idx", "start_date", "end_date", "a.date", "a.headline", "a.summary")
+
+
 def append_answers(answers: DataFrame, path: str) -> None:
     """Answer sink (S9): append-only; the resume step reads it back by key."""
     answers.write.mode("append").parquet(path)
@@ -230,13 +299,17 @@ def write_dataset(dataset: DataFrame, path: str) -> None:
     dataset.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
+DATASET_SCHEMA = "prompt string, answer string, period string, label string, symbol string, week_idx int, split string"
+
+
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The dataset with its declared schema: one written empty reads back as empty."""
+    return spark.read.schema(DATASET_SCHEMA).parquet(path)
 
 
 def write_evaluation(report: DataFrame, path: str) -> None:
-    """Evaluation CSV (S11).  One row per symbol plus the average: a single file."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Evaluation CSV (S11): one row per symbol plus the average."""
+    report.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_evaluation(spark: SparkSession, path: str) -> DataFrame:

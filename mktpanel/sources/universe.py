@@ -36,10 +36,9 @@ def with_asset_class(df: DataFrame, members: DataFrame) -> DataFrame:
     """Attach ``asset_class`` (F1): ``crypto`` for crypto members, else ``company``.
 
     Members hold one row per (symbol, index); the class per symbol is reduced
-    first so the join cannot multiply rows, then broadcast (one row per symbol
-    of the universe, a bounded dimension).
+    first so the join cannot multiply rows; Spark broadcasts it if it is small.
     """
     cls = (members.groupBy("symbol")
                   .agg(F.max(F.when(F.col("asset_class") == "crypto", 1).otherwise(0)).alias("_c")))
-    out = df.join(F.broadcast(cls), "symbol", "left")
+    out = df.join(cls, "symbol", "left")
     return out.withColumn("asset_class", F.when(F.col("_c") == 1, F.lit("crypto")).otherwise(F.lit("company"))).drop("_c")
