@@ -72,11 +72,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     ends.  Callers that keep a table name a path of their own.
     """
     path = f"{checkpoint_root(spark).rstrip('/')}/mktpanel/{name}-{uuid.uuid4().hex[:12]}"
+    # The folder is made now, to be owned; the table goes below it and is the caller's to create.
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(folder)
     system.deleteOnExit(folder)
-    return path
+    return f"{path}/table"
 
 
 def materialize(df, name: str = "stage"):

@@ -157,3 +157,17 @@ def test_training_system_prompt_rewrites_last_section(spark):
     r = df.select(T.training_system_prompt(T.system_prompt("c")).alias("s")).first()
     assert r.s.endswith("[Prediction & Analysis]\nPrediction: ...\nAnalysis: ...\n")
     assert "[Positive Developments]:\n1. ..." in r.s
+
+
+def test_number_text_equals_python(spark):
+    import random
+
+    from mktpanel.functions import text as T
+    rng = random.Random(1)
+    xs = [1.005, 0.125, 2.675, 1e7, 0.0005, 0.0, -0.0, -0.001, 1e15, 1e16, 1e-5, 1.5e-7, 99.995, 1e22, -1e-4,
+          float("nan"), float("inf"), float("-inf"), None]
+    xs += [rng.randrange(10 ** 7) / 1000 for _ in range(300)] + [rng.randrange(10 ** 6) / 8 for _ in range(300)]
+    xs += [rng.uniform(-1e6, 1e6) for _ in range(300)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for r in df.select("x", T.money("x").alias("m"), T.num_text("x").alias("n")).collect():
+        assert (r.m, r.n) == (("None", "None") if r.x is None else (f"{r.x:.2f}", str(r.x)))

@@ -116,11 +116,25 @@ def test_top_news_and_sample_are_bounded_and_ordered(spark):
     assert K.sample_news(df, 5, seed=7).where("week_idx = 1").count() == 1
 
 
-def test_collect_news_bounded_lists(spark):
+def test_collect_news_keeps_every_article_in_order(spark):
+    data = [("X", 0, f"202301010{d // 3}00{d % 3}00", h, "s") for d, h in enumerate(["b", "a", None, "d", "e", "f", "g"])]
+    df = spark.createDataFrame(data + data[:1], "symbol string, week_idx int, date string, headline string, summary string")
+    pages = sorted(A.collect_news(df).collect(), key=lambda r: r.page)
+    assert [e.headline for r in pages for e in r.news] == ["b", "b", "a", None, "d", "e", "f", "g"]
+    assert [r.n_page for r in pages] == [4, 3, 1] and all(r.n_news == 8 for r in pages)
+
+
+def test_first_news_is_cut(spark):
     data = [("X", 0, f"2023010{d}000000", f"h{d}", "s") for d in range(1, 9)]
     df = spark.createDataFrame(data, "symbol string, week_idx int, date string, headline string, summary string")
-    r = A.collect_news(df, k=3).first()
-    assert r.n_news == 8 and [e.headline for e in r.news] == ["h1", "h2", "h3"]
+    assert [e.headline for e in A.first_news(df, k=3).first().news] == ["h1", "h2", "h3"]
+
+
+def test_repeated_metric_has_the_later_value(spark):
+    data = [("X", D("2023-03-31"), "peTTM", 9.0, 0), ("X", D("2023-03-31"), "peTTM", 1.0, 1), ("X", D("2023-03-31"), "a", 2.0, 0)]
+    df = spark.createDataFrame(data, "symbol string, period date, metric string, v double, pos int")
+    assert A.pivot_basics(df).first().metrics == {"peTTM": 1.0, "a": 2.0}
+    assert A.pivot_basics(df.drop("pos")).first().metrics == {"peTTM": 9.0, "a": 2.0}
 
 
 def test_recent_intervals_steps(spark):

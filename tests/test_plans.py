@@ -203,3 +203,104 @@ def test_online_prompt_structure(spark):
     assert crypto.info.endswith("[Basic Financials]:\n\nNo basic financial reported.")
     # at most five sampled articles per interval
     assert all(r.info.count("[Headline]:") <= 5 * 4 for r in got.values())
+
+
+@pytest.mark.parametrize("stop_after", ["news", "weeks"])
+def test_run_stopped_between_the_panel_writes_resumes_whole(spark, monkeypatch, stop_after):
+    args = (spark, fx.prices(spark, SF_SMALL), fx.news(spark, SF_SMALL), fx.basics_long(spark, SF_SMALL),
+            fx.profiles(spark, SF_SMALL), fx.index_members(spark, SF_SMALL))
+    clean, base = shared_dir(spark, "run-clean"), shared_dir(spark, f"run-stopped-{stop_after}")
+    RUN.run_all(*args, clean, G.canned_generator, index_name="dow")
+    write = R.replace_symbols
+
+    def stop(df, path):
+        write(df, path)
+        if path.endswith(stop_after):
+            raise KeyboardInterrupt
+
+    monkeypatch.setattr(R, "replace_symbols", stop)
+    with pytest.raises(KeyboardInterrupt):
+        RUN.run_all(*args, base, G.canned_generator, index_name="dow")
+    monkeypatch.setattr(R, "replace_symbols", write)
+    RUN.run_all(*args, base, G.canned_generator, index_name="dow")
+    for a, b in zip(R.read_panel(spark, f"{clean}/DOW-30_all_all/panel"), R.read_panel(spark, f"{base}/DOW-30_all_all/panel")):
+        assert a.count() == b.count() > 0
+    a, b = (sorted((r.symbol, r.week_idx, r.date, r.headline or "", r.summary) for r in
+                   R.read_panel(spark, f"{x}/DOW-30_all_all/panel")[1].collect()) for x in (clean, base))
+    assert a == b
+
+
+def test_generator_survives_null_prompts_odd_results_and_raising_rows(spark):
+    rows_ = [("S", i, "company", None if i == 1 else f"prompt {i}") for i in range(40)]
+    prompts = spark.createDataFrame(rows_, "symbol string, week_idx int, asset_class string, prompt string")
+
+    def factory():
+        def fn(pdf):
+            if (pdf["week_idx"] == 3).any():
+                raise RuntimeError("model crashed")
+            return [float("nan") if w == 5 else 7 if w == 6 else p + " ok" for w, p in zip(pdf["week_idx"], pdf["full_prompt"])]
+        return fn
+
+    got = {r.week_idx: r.answer for r in G.generate_answers(prompts, None, factory, partitions=2).collect()}
+    assert got == {i: "" if i in (1, 3, 5, 6) else "ok" for i in range(40)}
+
+
+def test_failing_batch_is_halved():
+    import pandas as pd
+    calls = []
+
+    def fn(pdf):
+        calls.append(len(pdf))
+        if (pdf["week_idx"] == 77).any():
+            raise RuntimeError
+        return ["x"] * len(pdf)
+
+    out = G._generated(fn, pd.DataFrame({"week_idx": range(1024)}))
+    assert [i for i, x in enumerate(out) if x is None] == [77] and len(calls) == 21
+
+
+def test_generation_spreads_one_symbol_over_tasks(spark):
+    prompts = spark.range(200).selectExpr("'S' symbol", "cast(id as int) week_idx", "'company' asset_class", "'p' prompt")
+    out = G.generate_answers(prompts, None, G.canned_generator, partitions=6)
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() == 6
+
+
+def test_missing_profile_field_does_not_blank_the_prompt(spark, panel):
+    profiles = fx.profiles(spark, SF_SMALL).withColumn("exchange", F.lit(None).cast("string"))
+    out = PR.build_prompts(panel, profiles, fx.index_members(spark, SF_SMALL), 1, 4)
+    assert out.where(F.col("prompt").isNull()).count() == 0
+
+
+def test_no_text_below_the_symbol_exchange_of_the_split(spark, panel, prompts):
+    answers = G.generate_answers(prompts, None, G.canned_generator)
+    path = shared_dir(spark, "split-answers")
+    R.append_answers(answers, path)
+    tr = D.training_rows(R.read_answers(spark, path), panel.weekly, fx.index_members(spark, SF_SMALL)).rows
+    txt = plan_text(D.create_dataset(tr, 0.6), "formatted")
+    windows = [b for b in txt.split("\n\n") if ") Window" in b.split("\n")[0]]
+    assert windows and all("prompt" not in b and "answer" not in b for b in windows)
+
+
+def test_report_gathers_nothing(spark, panel, prompts):
+    from mktpanel.plans import evaluate as EV
+    path = shared_dir(spark, "report-answers")
+    R.append_answers(G.generate_answers(prompts, None, G.canned_generator), path)
+    assert "collect_list" not in plan_text(EV.evaluation_report(panel.weekly, R.read_answers(spark, path)), "formatted")
+
+
+def test_empty_dataset_reads_back(spark):
+    path = shared_dir(spark, "empty-dataset")
+    R.write_dataset(spark.createDataFrame([], R.DATASET_SCHEMA), path)
+    assert R.read_dataset(spark, path).count() == 0
+
+
+def test_articles_are_whole(spark):
+    docs = fx.table(spark, SF_SMALL, "documents").agg(F.max(F.length("text"))).first()[0]
+    assert fx.news(spark, SF_SMALL).agg(F.max(F.length("summary"))).first()[0] >= docs
+
+
+def test_article_pages_add_up(spark, panel):
+    from mktpanel.operators.aggregates import collect_news
+    pages = collect_news(panel.news).groupBy("symbol", "week_idx").agg(
+        F.sum(F.size("news")).alias("a"), F.sum("n_page").alias("b"), F.max("n_news").alias("n"))
+    assert pages.where("a <> n or b <> n").count() == 0 and pages.agg(F.sum("n")).first()[0] == panel.news.count()
