@@ -162,6 +162,8 @@ def _bucket(fp: Column, level: int, mask: int, salt: int) -> Column:
 def with_buckets(rows: DataFrame, fp: str, max_bits: int, hot_bucket: int = HOT_BUCKET, salt: int = 0) -> DataFrame:
     """``rows`` once per block with its bucket in column ``bucket``; hot buckets are dealt again.
 
+    Column ``block`` is the number of the block, or -1 in buckets dealt again.
+
     Rows of a bucket above ``hot_bucket`` rows move to the buckets of the
     blocks of their other bits: two of them at up to ``max_bits`` bits agree on
     one of those blocks as well, so no pair is lost.
@@ -169,7 +171,7 @@ def with_buckets(rows: DataFrame, fp: str, max_bits: int, hot_bucket: int = HOT_
     tops = block_masks(max_bits)
     out = rows.withColumn("_b", F.explode(F.array(*[
         F.struct(F.lit(i).alias("m"), _bucket(F.col(fp), 0, m, salt).alias("bucket")) for i, m in enumerate(tops)])))
-    out = out.select(*rows.columns, F.col("_b.m").alias("_m"), F.col("_b.bucket").alias("bucket"))
+    out = out.select(*rows.columns, F.col("_b.m").alias("block"), F.col("_b.m").alias("_m"), F.col("_b.bucket").alias("bucket"))
     masks = list(tops)
     for level in range(1, MAX_SPLITS + 1):
         hot = out.groupBy("bucket").count().filter(F.col("count") > hot_bucket).select("bucket")
@@ -177,16 +179,17 @@ def with_buckets(rows: DataFrame, fp: str, max_bits: int, hot_bucket: int = HOT_
             break
         hot = hot.withColumn("_hot", F.lit(True))
         flagged = out.join(hot, "bucket", "left")
-        calm = flagged.filter(F.col("_hot").isNull()).drop("_hot")
+        # Rows of calm buckets have no mask to be split by and stay where they are.
+        calm = flagged.filter(F.col("_hot").isNull()).withColumn("_m", F.lit(-1))
         below = [(i, sub) for i, m in enumerate(masks) for sub in block_masks(max_bits, ~m & ((1 << 64) - 1))]
         split = flagged.filter("_hot").withColumn("_b", F.explode(F.filter(F.array(*[
             F.struct(F.lit(i).alias("of"), F.lit(k).alias("m"),
                      _bucket(F.col(fp), level, masks[i] | sub, salt).alias("bucket"))
             for k, (i, sub) in enumerate(below)]), lambda x: x["of"] == F.col("_m"))))
-        split = split.select(*rows.columns, F.col("_b.m").alias("_m"), F.col("_b.bucket").alias("bucket"))
-        # Numbers of the next masks start anew; calm rows are never split again.
+        split = split.select(*rows.columns, F.lit(-1).alias("block"), F.col("_b.m").alias("_m"),
+                             F.col("_b.bucket").alias("bucket"))
         masks = [masks[i] | sub for i, sub in below]
-        out = calm.withColumn("_m", F.lit(-1)).select(*split.columns).unionByName(split)
+        out = calm.select(*split.columns).unionByName(split)
     return out.drop("_m")
 
 
