@@ -122,7 +122,9 @@ def _copies() -> Column:
 def taken(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every document."""
     drawn = materialize(_drawn(docs, ["doc_id"]), "mix-draws")
-    return drawn.join(budgets(drawn), "src").select("__row.doc_id", "size", "source_size", "target",
+    # Written first, so that Spark knows how small it is: the documents need not be dealt by source.
+    limits = materialize(budgets(drawn), "mix-budgets")
+    return drawn.join(limits, "src").select("__row.doc_id", "size", "source_size", "target",
                                                     (F.col("size") * _copies()).alias("taken"))
 
 
