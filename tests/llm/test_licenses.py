@@ -70,3 +70,49 @@ def test_query_equals_brute_force(spark, small):
             parts = g.path.split("/")[:-1]
             above = next((speaks[x] for x in ["/".join(parts[:n]) for n in range(len(parts), -1, -1)] if x in speaks), None)
             assert (g.license, g.from_path) == ((above[2], above[1]) if above else (None, None))
+
+
+MIT = """MIT License
+
+Copyright (c) 2021 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+GPL = """/* This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main;"""
+WHOLE = [
+    ("MIT", "m/LICENSE", MIT), ("MIT", "m/x.c", MIT.partition("\n\n")[2].partition("\n\n")[2] + "\n\nint x;"), ("MIT", "m/n.c", "MIT License"),
+    ("BSD-2-Clause", "b/LICENSE", BSD), ("GPL-3.0", "g/x.c", GPL),
+    ("GPL-3.0", "g/COPYING", "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\n" + "Some words of the terms here. " * 300),
+    (None, "g/y.c", "GNU GENERAL PUBLIC LICENSE"), ("Apache-2.0", "a/LICENSE", "Apache License\nVersion 2.0, January 2004"),
+    ("MPL-2.0", "l/x", "Mozilla Public License Version 2.0"),
+    ("ISC", "i/x.c", "// Permission to use, copy, modify, and/or distribute this software for any\n// purpose with or without fee is hereby "
+     "granted, provided that the above\n// copyright notice and this permission notice appear in all copies.\n"),
+    (None, "p/x.txt", "The permission was granted to the person with the conditions of the notice and the software."),
+]
+
+
+def test_licence_texts_and_wrapped_headers(spark):
+    rows = [(i, p, t) for i, (_, p, t) in enumerate(WHOLE)] + [(100 + i, f"z/{i}/f", f"word{i} and other words") for i in range(100)]
+    got = {r.id: r for r in L.scan_licences(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    assert {i: got[i].license if got[i].how == "own" else None for i in range(len(WHOLE))} == {i: x[0] for i, x in enumerate(WHOLE)}
+    assert got[0].is_licence_file and got[5].is_licence_file and not got[5].n_notices > 3 and got[6].from_path == "g/COPYING"
