@@ -116,3 +116,17 @@ def test_licence_texts_and_wrapped_headers(spark):
     got = {r.id: r for r in L.scan_licences(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
     assert {i: got[i].license if got[i].how == "own" else None for i in range(len(WHOLE))} == {i: x[0] for i, x in enumerate(WHOLE)}
     assert got[0].is_licence_file and got[5].is_licence_file and not got[5].n_notices > 3 and got[6].from_path == "g/COPYING"
+
+
+def test_weights_count_every_term(spark):
+    notices = {100: "Licensed under the MIT license, see the LICENSE file for details.", 101: "Copyright 2020 Jane Doe. All rights reserved."}
+    rows = [(i, None, f"see file for details copyright 2020 jane doe number{i}") for i in range(100)] + [(i, None, t) for i, t in notices.items()]
+    got = {r.id: r for r in L.scan_licences(spark.createDataFrame(rows, "id long, path string, text string")).collect()}
+    n, df = len(rows), Counter(t for r in rows for t in set(L.terms(r[2])))
+    for i, name in ((100, "MIT"), (101, "Proprietary")):
+        a = {t: k * (log((n + 1) / (df[t] + 1)) + 1) for t, k in Counter(L.terms(notices[i])).items()}
+        best = 0.0
+        for notice in L.TEMPLATES[name]:
+            b = {t: k * (log((n + 1) / (df[t] + 1)) + 1) for t, k in Counter(L.terms(notice)).items()}
+            best = max(best, sum(x * b.get(t, 0) for t, x in a.items()) / sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values())))
+        assert got[i].license == name and abs(got[i].score - best) < 1e-9 and best >= L.MIN_COSINE
