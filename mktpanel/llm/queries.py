@@ -75,10 +75,10 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
 
 @register("op5_license_scan")
 def op5(spark: SparkSession, d: str) -> DataFrame:
-    # The table has no paths: source, language and number give a tree of unequal depth.
+    # The table has no paths: source, language and number give a tree of unequal depth; every fifth file has a licence file's name.
     doc = F.col("doc_id")
     path = F.concat_ws("/", "source", F.when(doc % 3 > 0, F.col("lang")),
-                       F.when(doc % 3 > 1, F.floor(doc / 50).cast("string")), F.concat(doc.cast("string"), F.lit(".txt")))
+                       F.when(doc % 3 > 1, F.floor(doc / 50).cast("string")), F.concat(F.when(doc % 5 == 0, "LICENSE.").otherwise(""), doc.cast("string"), F.lit(".txt")))
     files = table(spark, d, "documents").select(doc.alias("id"), path.alias("path"), "text")
     return licenses.scan_licences(files).withColumnRenamed("id", "doc_id")
 

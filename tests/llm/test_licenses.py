@@ -130,3 +130,22 @@ def test_weights_count_every_term(spark):
             b = {t: k * (log((n + 1) / (df[t] + 1)) + 1) for t, k in Counter(L.terms(notice)).items()}
             best = max(best, sum(x * b.get(t, 0) for t, x in a.items()) / sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values())))
         assert got[i].license == name and abs(got[i].score - best) < 1e-9 and best >= L.MIN_COSINE
+
+
+def test_query_has_licence_files_by_name(spark):
+    got = QUERIES["op5_license_scan"](spark, "/root/testdata/sf0.01").collect()
+    named = [g for g in got if g.how == "own" and g.path.rpartition("/")[2].startswith("LICENSE.")]
+    assert named and all(g.is_licence_file for g in named)
+    speaks = {}
+    for g in got:
+        if g.is_licence_file:
+            here = g.path.rpartition("/")[0]
+            speaks[here] = min(speaks.get(here, (0, "~", "")), (-g.score, g.path, g.license))
+    inherited = 0
+    for g in got:
+        if g.how != "own":
+            parts = g.path.split("/")[:-1]
+            above = next((speaks[x] for x in ["/".join(parts[:n]) for n in range(len(parts), -1, -1)] if x in speaks), None)
+            assert (g.license, g.from_path) == ((above[2], above[1]) if above else (None, None))
+            inherited += above is not None
+    assert inherited > 100
