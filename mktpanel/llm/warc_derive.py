@@ -11,8 +11,11 @@ Record ids are name-based UUIDs of the source id, so reruns agree.  Rows are
 independent: nothing is shuffled.
 
 Cases: a null payload counts as empty (no links, empty text); a null target
-gives an empty one and links stay relative; a null or unparsable HTTP head has
-no fields; repeated rows give repeated records; tags, scripts and comments
+gives an empty one and links stay relative; a null HTTP head has no fields;
+lines of a head without a colon are none; a field that is repeated has the list
+of its values in order; folded lines are joined; an optional column
+``warc_headers`` has the source record's own header lines, which are all passed
+through, those of the other columns first; repeated rows give repeated records; tags, scripts and comments
 left open run to the end of the page; an empty table gives no rows; other
 columns are not read.
 """
@@ -48,6 +51,7 @@ _GAPS = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 _LINKS = re.compile(rf"<(a|area|link|img|iframe|script|form)\b({_REST})>", re.I)
 _FIELD = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ENDS = re.compile(r"\r?\n")
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
 _META = re.compile(rf"<meta\b({_REST})>", re.I)
 _TARGETS = {"a": "href", "area": "href", "link": "href", "img": "src", "iframe": "src", "script": "src", "form": "action"}
@@ -88,10 +92,35 @@ def page_metadata(page: str, base: str) -> dict:
             "Metas": [_fields(m[1]) for m in _META.finditer(page)], "Links": links}
 
 
-def http_head(head: str | None) -> tuple[str, dict[str, str]]:
+def header_fields(head: str | None) -> list[tuple[str, str]]:
+    """The (name, value) fields of header lines, in order; folded lines are joined with a blank."""
+    out: list[tuple[str, str]] = []
+    for x in _ENDS.split(head or ""):
+        if not x.strip():
+            continue
+        if x[0] in " \t":
+            if out:
+                out[-1] = (out[-1][0], f"{out[-1][1]} {x.strip()}".strip())
+            continue
+        name, colon, value = x.partition(":")
+        if colon and name.strip():
+            out.append((name.strip(), value.strip()))
+    return out
+
+
+def http_head(head: str | None) -> tuple[str, list[tuple[str, str]]]:
     """Status line and fields of an HTTP head."""
-    status, _, rest = (head or "").partition("\r\n")
-    return status, dict(x.split(": ", 1) for x in rest.split("\r\n") if ": " in x)
+    status, *rest = _ENDS.split(head or "", maxsplit=1)
+    return status, header_fields("".join(rest))
+
+
+def as_json(fields: list[tuple[str, str]]) -> dict[str, str | list[str]]:
+    """Fields by name in order of first use; one that is repeated, in whatever case, has the list of its values."""
+    names: dict[str, str] = {}
+    values: dict[str, list[str]] = {}
+    for name, value in fields:
+        values.setdefault(names.setdefault(name.lower(), name), []).append(value)
+    return {name: x[0] if len(x) == 1 else x for name, x in values.items()}
 
 
 def _record(kind: str, own: str, other: str, source: dict, content: str, block: bytes) -> bytes:
@@ -106,13 +135,17 @@ def derived(source: dict) -> list[tuple[str, str, str, bytes, bytes]]:
     page, base = source["payload"] or "", source["target_uri"]
     meta_id, text_id = record_id(source["record_id"], "metadata"), record_id(source["record_id"], "conversion")
     status, fields = http_head(source["http_head"])
+    headers = {"WARC-Type": "response", "WARC-Record-ID": source["record_id"], "WARC-Target-URI": base,
+               "WARC-Date": source["date"], "WARC-Refers-To": source["refers_to"],
+               "WARC-Block-Digest": source["block_digest"], "WARC-Payload-Digest": source["payload_digest"]}
+    known = {name.lower(): name for name in headers}
+    for name, value in as_json(header_fields(source.get("warc_headers"))).items():
+        name = known.get(name.lower(), name)
+        headers[name] = headers.get(name) or value
     envelope = {"Envelope": {
-        "WARC-Header-Metadata": {
-            "WARC-Type": "response", "WARC-Record-ID": source["record_id"], "WARC-Target-URI": base,
-            "WARC-Date": source["date"], "WARC-Refers-To": source["refers_to"],
-            "WARC-Block-Digest": source["block_digest"], "WARC-Payload-Digest": source["payload_digest"]},
+        "WARC-Header-Metadata": headers,
         "Payload-Metadata": {"HTTP-Response-Metadata": {
-            "Response-Message": status, "Headers": fields, "Entity-Length": len(page.encode()),
+            "Response-Message": status, "Headers": as_json(fields), "Entity-Length": len(page.encode()),
             "Entity-Digest": source["payload_digest"], "HTML-Metadata": page_metadata(page, base)}}}}
     out = []
     for kind, own, other, content, block in (
@@ -148,7 +181,7 @@ def responses(pages: DataFrame, first_capture: int = FIRST_CAPTURE) -> DataFrame
 def derive(sources: DataFrame) -> DataFrame:
     """Two rows per response: page_id, record_type, record_id, refers_to, target_uri, block_digest, content_length, record."""
     wanted = ["page_id", "record_id", "target_uri", "date", "refers_to", "http_head", "block_digest", "payload_digest",
-              "payload"]
+              "payload", *(["warc_headers"] if "warc_headers" in sources.columns else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary()]

@@ -79,3 +79,24 @@ def test_edge_cases(spark):
     long = next(r for r in got if r.page_id == 4 and r.record_type == "metadata")
     assert len(json.loads(parse(long.record)[1])["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]["HTML-Metadata"]["Links"]) == 20000
     assert W.derive(W.responses(pages.limit(0))).count() == 0
+
+
+def test_all_headers_of_the_source_are_kept(spark):
+    head = ("HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nServer:x\r\nset-cookie: b=2; Path=/\r\nVia: 1.1 p\r\nX-Long: one\r\n two\r\n\tthree\r\n"
+            "Link: <http://h/?a: b>\r\nno field\r\nEmpty:")
+    warc = ("WARC-Type: response\r\nWARC-IP-Address: 192.0.2.1\r\nWARC-Concurrent-To: <urn:a>\r\nWARC-Concurrent-To: <urn:b>\r\n"
+            "warc-refers-to: <urn:c>\r\nContent-Type: application/http;\r\n msgtype=response\r\nContent-Length: 12")
+    pages = W.responses(spark.createDataFrame([(1, "http://h/", "<p>x")], "page_id long, url string, html string"))
+    for given in (True, False):
+        sources = pages.withColumn("http_head", F.lit(head))
+        sources = sources.withColumn("warc_headers", F.lit(warc)) if given else sources
+        record = next(r.record for r in W.derive(sources).collect() if r.record_type == "metadata")
+        envelope = json.loads(parse(record)[1])["Envelope"]
+        assert list(envelope["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"].items()) == [
+            ("Set-Cookie", ["a=1", "b=2; Path=/"]), ("Server", "x"), ("Via", "1.1 p"), ("X-Long", "one two three"),
+            ("Link", "<http://h/?a: b>"), ("Empty", "")]
+        headers = envelope["WARC-Header-Metadata"]
+        assert headers["WARC-Record-ID"] == pages.first().record_id and headers["WARC-Type"] == "response"
+        if given:
+            assert headers["WARC-IP-Address"] == "192.0.2.1" and headers["WARC-Concurrent-To"] == ["<urn:a>", "<urn:b>"]
+            assert headers["WARC-Refers-To"] == "<urn:c>" and headers["Content-Type"] == "application/http; msgtype=response"
