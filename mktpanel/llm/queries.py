@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mktpanel.llm import (
+    kmeans,
+    kmeans_sql,
     language_id,
     licenses,
     line_dedup,
@@ -150,3 +152,8 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 @register("op10_simhash_near_dedup")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, d, "documents"))
+
+
+@register("op13_shallot_kmeans", kmeans_sql.sql())
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return kmeans.cluster(table(spark, d, "embeddings"))
