@@ -20,6 +20,7 @@ from mktpanel.llm import (
     simhash_dedup,
     token_files,
     topk,
+    url_rules,
     warc_derive,
 )
 from mktpanel.llm.common import table
@@ -160,6 +161,64 @@ def op13(spark: SparkSession, d: str) -> DataFrame:
     return kmeans.cluster(table(spark, d, "embeddings"))
 
 
+@register("op11_url_rules", r"""
+with recursive rests as (
+  select page_id, url, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low,
+         case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest
+  from pages),
+parsed as (
+  select *, translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low_path
+  from (select *, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz'), '') as host,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from rests)),
+judged as (
+  select *,
+         case when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/'
+              when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
+              when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
+              when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/fr/') then 'net/fr/'
+              when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/' end as rule,
+         case when url is null then [] else list_distinct(list_filter(
+           ['scheme:' || regexp_extract(low, '(?s)^(.*?)://', 1), 'host:' || host,
+            'ending:' || regexp_extract(low_path, '(\.[^./]*)\z', 1),
+            case when contains(low, '#') then 'fragment' else 'no fragment' end]
+           || list_transform(list_reverse(string_split(host, '.')), lambda x, i: case when x <> '' then 'label' || (i - 1) || ':' || x end)
+           || list_transform(string_split(regexp_extract(low_path, '(?s)^(.*)/[^/]*\z', 1), '/'),
+                             lambda x: case when x <> '' then 'folder:' || x end)
+           || list_transform(string_split(regexp_extract(low, '^[^?#]*\?([^#]*)', 1), '&'),
+                             lambda x: case when regexp_extract(x, '^[^=]*') <> '' then 'key:' || regexp_extract(x, '^[^=]*') end),
+           lambda x: x is not null)) end as tokens
+  from parsed),
+bad as (
+  select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad
+  from labels where quality is not null or toxic is not null group by doc_id),
+learn as (
+  select row_number() over () as pid, * from (
+    select distinct page_id, url, tokens, bad from judged join bad on doc_id = page_id where url is not null)),
+least as (select greatest(10, ceil(count(*) * 0.001::double)) as least from learn),
+common as (
+  select token from (select bad, unnest(tokens) as token from learn)
+  group by token having sum(bad) >= (select least from least)),
+held as (
+  select pid, bad, list(token order by token) as held
+  from (select pid, bad, unnest(tokens) as token from learn) join common using (token) group by pid, bad),
+sets as (
+  select pid, bad, []::varchar[] as s, 0::bigint as upto, held from held
+  union all
+  select pid, bad, list_append(s, held[j]), j, held
+  from (select *, unnest(range(upto + 1, len(held) + 1)) as j from sets)),
+rules as (
+  select s from sets where len(s) > 0 group by s
+  having sum(bad) >= (select least from least) and sum(bad)::double / count(*) >= 0.6)
+select page_id, host, path, rule,
+       case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
+            when exists (select 1 from rules where list_has_all(tokens, s)) then 'block' else 'allow' end as verdict
+from judged
+""")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return url_rules.judge(table(spark, d, "pages"), table(spark, d, "labels"))
+
+
 @register("op12_merkle_manifest", r"""
 with recursive fields as (
   select row_number() over () as rid, doc_id, source, lang, n_chars, text,
