@@ -159,6 +159,7 @@ SINGLE_PERCENT = r"(\d+(\.\d+)?)%"
 DEFAULT_MAGNITUDE = "1"
 
 # Defaults of a whole run.
+MAX_NEW_TOKENS = 512
 DEFAULT_MIN_WEEKS = 1
 DEFAULT_MAX_WEEKS = 4
 DEFAULT_TRAIN_RATIO = 0.6

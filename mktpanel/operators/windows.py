@@ -34,3 +34,18 @@ def chrono_split(df: DataFrame, ratio: float, by: str = "symbol", order: str = "
     n = F.count(F.lit(1)).over(w_all)
     train = F.bround(F.lit(float(ratio)) * n, 0)
     return df.withColumn(out, F.when(F.row_number().over(w) <= train, F.lit("train")).otherwise(F.lit("test")))
+
+
+def train_cutoffs(keys: DataFrame, ratio: float, by: str = "symbol", order=("week_idx",)) -> DataFrame:
+    """Per symbol the last key of its train rows: ``(by, _cut struct<order...>)``, NULL where none is train.
+
+    An exact order statistic by counting: rows are counted per key before the
+    shuffle, and the key at which the running count reaches
+    ``round(ratio * n)`` (half-to-even) is the cutoff.
+    """
+    counts = keys.groupBy(by, *order).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    n = F.sum("_n").over(Window.partitionBy(by))
+    train = F.bround(F.lit(float(ratio)) * n, 0)
+    first = counts.withColumn("_train", upto - F.col("_n") < train)
+    return first.groupBy(by).agg(F.max(F.when(F.col("_train"), F.struct(*order))).alias("_cut"))

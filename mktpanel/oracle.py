@@ -569,6 +569,10 @@ SQL["predicted_label"] = with_(*BASE, ANSWERS, PRED) + "select symbol, week_idx,
 SQL["build_panel"] = SQL["panel_roundtrip"]
 SQL["build_prompts"] = with_(*BASE) + "select symbol, week_idx, start_date, end_date, prompt from prompts"
 SQL["generate_answers"] = with_(*BASE, ANSWERS) + "select symbol, week_idx, prompt, answer from answers"
+SQL["generate_outcomes"] = with_(*BASE, ANSWERS) + """
+select symbol, week_idx, answer, 1 as attempts,
+       case when (week_idx * 31 + cast(substr(symbol, 7) as int) * 13) % 8 = 7 then 'no text' end as error
+from answers"""
 SQL["training_rows"] = with_(*BASE, ANSWERS, TRAINING) + "select symbol, week_idx, prompt, answer, period, label from tr"
 OLD_TRAIN = f"""tr_old AS (
   select a.symbol, a.week_idx,

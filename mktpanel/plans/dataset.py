@@ -11,7 +11,8 @@ from mktpanel.functions import fixed
 from mktpanel.functions import text as T
 from mktpanel.functions.labels import bin_phrase
 from mktpanel.operators.filters import usable_answers
-from mktpanel.operators.windows import chrono_split
+from mktpanel.operators.windows import train_cutoffs
+from mktpanel.session import materialize
 from mktpanel.sources.universe import with_asset_class
 
 DATASET_COLUMNS = ["prompt", "answer", "period", "label", "symbol", "split", "week_idx"]
@@ -60,11 +61,17 @@ def training_rows(answers: DataFrame, weeks: DataFrame | None, members: DataFram
 def create_dataset(rows: DataFrame, train_ratio: float = 0.8) -> DataFrame:
     """Per symbol, the first ``round(ratio * n)`` rows by week are train, the rest test.
 
-    Only keys are counted and ranked; the split comes back to the texts by key,
-    so no text is sorted or held by a symbol's window.
+    The rows are written once, as answers may come from a generator that must
+    not be asked twice.  One cutoff per symbol is found by counting narrow keys
+    (``train_cutoffs``), and each row is compared with its symbol's: no text is
+    sorted or held by a symbol's window.  Rows of one week are ordered by a
+    digest of all columns, so rows that repeat stay on one side.
     """
-    split = chrono_split(rows.select("symbol", "week_idx"), train_ratio)
-    return rows.join(split, ["symbol", "week_idx"]).select(*DATASET_COLUMNS)
+    written = materialize(rows.withColumn("_row", F.xxhash64(*rows.columns)), "training-rows")
+    cutoffs = train_cutoffs(written.select("symbol", "week_idx", "_row"), train_ratio, order=("week_idx", "_row"))
+    train = F.coalesce(F.struct("week_idx", "_row") <= F.col("_cut"), F.lit(False))
+    return (written.join(cutoffs, "symbol").withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("test")))
+                   .select(*DATASET_COLUMNS))
 
 
 def old_form_prompts(weeks: DataFrame) -> DataFrame:

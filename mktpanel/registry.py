@@ -117,6 +117,11 @@ class Ctx:
     def answers(self):
         return self._get("answers", lambda: G.generate_answers(self.prompts, None, G.canned_generator))
 
+    @property
+    def outcomes(self):
+        """Answers without their prompts, for those who score them."""
+        return self._get("outcomes", lambda: G.generate_answers(self.prompts, None, G.canned_generator, keep_prompt=False))
+
     @property
     def recent(self) -> ON.RecentPanel:
         return self._get("recent", lambda: ON.recent_panel(self.prices, self.news, self.members, CURDAY,
@@ -226,7 +231,7 @@ def q_dataset_roundtrip(spark, d):
 def q_evaluation_roundtrip(spark, d):
     path = shared_dir(spark, "evaluation")
     c = Ctx(spark, d)
-    R.write_evaluation(EV.evaluation_report(c.weeks, c.answers), path)
+    R.write_evaluation(EV.evaluation_report(c.weeks, c.outcomes), path)
     return R.read_evaluation(spark, path)
 
 
@@ -268,7 +273,7 @@ def q_news_cutoff(spark, d):
 
 @register("usable_answers")
 def q_usable_answers(spark, d):
-    return FL.usable_answers(Ctx(spark, d).answers).select("symbol", "week_idx", "answer")
+    return FL.usable_answers(Ctx(spark, d).outcomes).select("symbol", "week_idx", "answer")
 
 
 @register("empty_basics")
@@ -361,13 +366,13 @@ def q_current_basics(spark, d):
 @register("pair_by_key")
 def q_pair_by_key(spark, d):
     c = Ctx(spark, d)
-    return EV.prediction_pairs(c.weeks, c.answers, align="key")
+    return EV.prediction_pairs(c.weeks, c.outcomes, align="key")
 
 
 @register("pair_by_position")
 def q_pair_by_position(spark, d):
     c = Ctx(spark, d)
-    return EV.prediction_pairs(c.weeks, c.answers, align="position")
+    return EV.prediction_pairs(c.weeks, c.outcomes, align="position")
 
 
 @register("profile_join")
@@ -379,7 +384,7 @@ def q_profile_join(spark, d):
 @register("pending_prompts")
 def q_pending_prompts(spark, d):
     c = Ctx(spark, d)
-    return J.pending_prompts(c.prompts, FL.usable_answers(c.answers)).select("symbol", "week_idx")
+    return J.pending_prompts(c.prompts, FL.usable_answers(c.outcomes)).select("symbol", "week_idx")
 
 
 # ------------------------------------------------------------ 2.5 aggregations
@@ -403,13 +408,13 @@ def q_pivot_basics(spark, d):
 @register("evaluate")
 def q_evaluate(spark, d):
     c = Ctx(spark, d)
-    return A.evaluate(EV.prediction_pairs(c.weeks, c.answers))
+    return A.evaluate(EV.prediction_pairs(c.weeks, c.outcomes))
 
 
 @register("evaluate_with_average")
 def q_evaluate_with_average(spark, d):
     c = Ctx(spark, d)
-    return A.with_macro_average(A.evaluate(EV.prediction_pairs(c.weeks, c.answers, align="key")))
+    return A.with_macro_average(A.evaluate(EV.prediction_pairs(c.weeks, c.outcomes, align="key")))
 
 
 # ------------------------------------------------------------ 2.6 windows
@@ -561,7 +566,7 @@ def q_rewrite_request(spark, d):
 @register("inject_label")
 def q_inject_label(spark, d):
     c = Ctx(spark, d)
-    a = c.answers.join(c.weeks.select("symbol", "week_idx", "bin_label"), ["symbol", "week_idx"])
+    a = c.outcomes.join(c.weeks.select("symbol", "week_idx", "bin_label"), ["symbol", "week_idx"])
     a = a.where(F.col("bin_label").isNotNull())
     return a.select("symbol", "week_idx", T.inject_label("answer", L.bin_phrase("bin_label")).alias("answer"))
 
@@ -586,7 +591,7 @@ def q_number_text(spark, d):
 
 @register("predicted_label")
 def q_predicted_label(spark, d):
-    a = Ctx(spark, d).answers
+    a = Ctx(spark, d).outcomes
     return a.select("symbol", "week_idx", "answer", L.predicted_label("answer").alias("pred_label"))
 
 
@@ -613,6 +618,12 @@ def q_generate_answers(spark, d):
     return Ctx(spark, d).answers
 
 
+@register("generate_outcomes")
+def q_generate_outcomes(spark, d):
+    c = Ctx(spark, d)
+    return G.generate_outcomes(c.prompts, None, G.canned_generator).select("symbol", "week_idx", "answer", "attempts", "error")
+
+
 @register("training_rows")
 def q_training_rows(spark, d):
     return Ctx(spark, d).training
@@ -645,7 +656,7 @@ def q_create_dataset(spark, d):
 @register("evaluation_report")
 def q_evaluation_report(spark, d):
     c = Ctx(spark, d)
-    return EV.evaluation_report(c.weeks, c.answers)
+    return EV.evaluation_report(c.weeks, c.outcomes)
 
 
 @register("recent_panel")

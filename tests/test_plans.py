@@ -245,7 +245,7 @@ def test_generator_survives_null_prompts_odd_results_and_raising_rows(spark):
     assert got == {i: "" if i in (1, 3, 5, 6) else "ok" for i in range(40)}
 
 
-def test_failing_batch_is_halved():
+def test_a_row_has_a_bounded_number_of_attempts():
     import pandas as pd
     calls = []
 
@@ -255,8 +255,75 @@ def test_failing_batch_is_halved():
             raise RuntimeError
         return ["x"] * len(pdf)
 
-    out = G._generated(fn, pd.DataFrame({"week_idx": range(1024)}))
-    assert [i for i, x in enumerate(out) if x is None] == [77] and len(calls) == 21
+    out = G._outcomes(fn, pd.DataFrame({"week_idx": range(1000)}), 4)
+    assert [i for i, (x, _, _) in enumerate(out) if x is None] == [77]
+    assert out[77] == (None, 4, "RuntimeError") and max(n for _, n, _ in out) == 4 and out[500] == ("x", 2, None)
+    assert calls[:2] == [1000, 100] and 1 in calls and len(calls) == 31
+    assert {n for _, n, _ in G._outcomes(fn, pd.DataFrame({"week_idx": range(100)}), 1)} == {1}
+    assert G._outcomes(lambda p: ["x"], pd.DataFrame({"week_idx": [1, 2]}), 1) == [(None, 1, "wrong length")] * 2
+    assert G._outcomes(fn, pd.DataFrame({"week_idx": []}), 4) == []
+
+
+def test_outcomes_tell_failures_from_empty_answers_and_failures_recover(spark):
+    rows_ = [("S", i, "company", None if i == 1 else f"prompt {i}") for i in range(6)]
+    prompts = spark.createDataFrame(rows_, "symbol string, week_idx int, asset_class string, prompt string")
+
+    def factory(options):
+        calls = []
+
+        def fn(pdf):
+            key = tuple(pdf["week_idx"])
+            calls.append(key)
+            if 3 in key or (2 in key and len(calls) < 4):
+                raise ValueError("always at 3, at first at 2")
+            return [p + ("" if w == 4 else f" {options.max_new_tokens} {options.do_sample}") if w != 5 else None
+                    for w, p in zip(pdf["week_idx"], pdf["full_prompt"])]
+        return fn
+
+    out = G.generate_outcomes(prompts, None, factory, partitions=1, options=G.GenerationOptions(max_new_tokens=7))
+    got = {r.week_idx: (r.answer, r.error) for r in out.collect()}
+    assert got == {0: ("7 False", None), 1: ("", "no prompt"), 2: ("7 False", None), 3: ("", "ValueError"),
+                   4: ("", None), 5: ("", "no text")}
+    # The accepted rows go to the answers; a later run asks for the rejects only.
+    done = out.where("error is null").select("symbol", "week_idx", "prompt", "answer")
+    again = G.generate_outcomes(prompts, done, G.canned_generator, partitions=1)
+    assert {r.week_idx for r in again.collect()} == {1, 3, 5}
+
+
+def test_dataset_asks_the_generator_once_per_prompt(spark, panel, prompts):
+    """Answers that differ from call to call lose no row, and no prompt is paid for twice."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def factory():
+        import random
+
+        def fn(pdf):
+            asked.add(len(pdf))
+            return [p + random.choice(["", " a gain of 3%", " a loss of 2%"]) for p in pdf["full_prompt"]]
+        return fn
+
+    answers = G.generate_answers(prompts, None, factory)
+    ds = D.create_dataset(D.training_rows(answers, panel.weekly, fx.index_members(spark, SF_SMALL)).rows, 0.6)
+    txt = plan_text(ds, "formatted")
+    assert "MapInPandas" not in txt            # already written: whoever reads it asks nobody
+    got = ds.select("symbol", "week_idx", "split").collect()
+    assert asked.value == prompts.count()
+    by = {}
+    for r in got:
+        by.setdefault(r.symbol, []).append((r.week_idx, r.split))
+    for pairs in by.values():
+        n = round(0.6 * len(pairs))
+        assert [s for _, s in sorted(pairs)] == ["train"] * n + ["test"] * (len(pairs) - n)
+
+
+def test_split_of_repeated_weeks_is_exact(spark):
+    rows_ = [("S", w, f"p{i}", "a", "x", "y") for w in (1, 2) for i in range(5)] + [("T", 1, "p", "a", "x", "y")]
+    df = spark.createDataFrame(rows_, "symbol string, week_idx int, prompt string, answer string, period string, label string")
+    ds = D.create_dataset(df, 0.8).collect()
+    assert sum(r.split == "train" for r in ds if r.symbol == "S") == 8
+    assert all(r.split == "train" for r in ds if r.week_idx == 1) and len(ds) == 11
+    assert {r.split for r in D.create_dataset(df, 0.0).collect()} == {"test"}
+    assert D.create_dataset(df.limit(0), 0.8).collect() == []
 
 
 def test_generation_spreads_one_symbol_over_tasks(spark):
