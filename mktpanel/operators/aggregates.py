@@ -6,24 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mktpanel.functions.labels import direction_match, exact_match
+from mktpanel.operators.ranking import with_group_rank
 from mktpanel.operators.sampling import top_news
 
+# Articles are whole texts: a cell holds a hundred of them at most.
+PAGE_ROWS = 100
 REPORT_COLUMNS = ["symbol", "samples", "directional_accuracy", "full_accuracy", "missing_predictions"]
 
 
-def collect_news(week_articles: DataFrame, by=("symbol", "week_idx")) -> DataFrame:
-    """Every article of a group as ordered lists (A1), one page per stamp hour.
+def collect_news(week_articles: DataFrame, by=("symbol", "week_idx"), page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Every article of a group as ordered lists (A1), in pages of at most ``page_rows`` articles.
 
     ``(by..., page, news array<struct<date, headline, summary>>, n_page, n_news)``;
-    the pages in order are the whole list, and ``n_news`` is its length.  Pages
-    spread a hot week over its hours, so no cell or task holds a whole week.
+    pages are numbered from 0, in order they are the whole list, and ``n_news``
+    is its length.  An article's page follows from its exact rank, so a hot
+    week, or a hot second of it, is as many cells as it needs and is ranked and
+    gathered in many tasks.
     """
-    page = F.substr("date", F.lit(1), F.lit(10)).alias("page")
-    pages = week_articles.groupBy(*by, page).agg(
+    ranked = with_group_rank(week_articles, by, ["date", "headline", "summary"], "_rank", "n_news")
+    page = F.floor(F.col("_rank") / page_rows).cast("int").alias("page")
+    return ranked.groupBy(*by, page).agg(
         F.sort_array(F.collect_list(F.struct("date", "headline", "summary"))).alias("news"),
-        F.count(F.lit(1)).alias("n_page"))
-    totals = week_articles.groupBy(*by).agg(F.count(F.lit(1)).alias("n_news"))
-    return pages.join(totals, list(by))
+        F.count(F.lit(1)).alias("n_page"), F.first("n_news").alias("n_news"))
 
 
 def first_news(week_articles: DataFrame, k: int, by=("symbol", "week_idx"), text_col: str | None = None) -> DataFrame:

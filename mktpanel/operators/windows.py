@@ -19,6 +19,27 @@ def history_window(df: DataFrame, col: str, max_weeks: int, out: str = "history"
     return df.withColumn(out, F.collect_list(col).over(w))
 
 
+def history_join(df: DataFrame, col: str, max_weeks: int, out: str = "history",
+                 by: str = "symbol", order: str = "week_idx") -> DataFrame:
+    """``history_window`` for texts of any size (W1): only keys pass the window by ``by``.
+
+    Each row's key meets the keys of up to ``max_weeks`` earlier rows; the
+    pairs are joined to the texts and gathered by (``by``, ``order``), so a hot
+    symbol's texts lie in as many partitions as it has weeks.  Keys are unique;
+    ``df`` is read three times, so give it a written table.
+    """
+    if max_weeks < 1:
+        raise ValueError("max_weeks must be >= 1")
+    w = Window.partitionBy(by).orderBy(order).rowsBetween(-max_weeks, -1)
+    pairs = df.select(by, order).select(by, order, F.collect_list(order).over(w).alias("_keys"))
+    pairs = pairs.select(by, order, F.explode("_keys").alias("_earlier"))
+    texts = df.where(F.col(col).isNotNull()).select(by, F.col(order).alias("_earlier"), F.col(col).alias("_text"))
+    lists = (pairs.join(texts, [by, "_earlier"]).groupBy(by, order)
+                  .agg(F.array_sort(F.collect_list(F.struct("_earlier", "_text"))).alias("_l")))
+    texts_of = F.transform(F.coalesce("_l", F.array().cast(lists.schema["_l"].dataType)), lambda e: e["_text"])
+    return df.join(lists, [by, order], "left").withColumn(out, texts_of).drop("_l")
+
+
 def history_gate(df: DataFrame, min_weeks: int, order: str = "week_idx") -> DataFrame:
     """No output for the first ``min_weeks`` weeks (W2); applied after the window."""
     if min_weeks < 0:

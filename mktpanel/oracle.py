@@ -19,6 +19,7 @@ CURDAY = "1999-06-16"
 ONLINE_WEEKS = 3
 MIN_WEEKS, MAX_WEEKS, RATIO = 1, 4, 0.6
 TOP_K = 5
+NEWS_PAGE = 2
 
 
 def q(s: str) -> str:
@@ -449,10 +450,12 @@ select symbol, week_idx from answers where answer <> ''"""
 
 # 2.5 aggregations
 SQL["collect_news"] = with_(PRICES, NEWS, WEEKLY, NEWS_DAYS, ART_WEEKS) + f"""
-select symbol, week_idx, substr(date, 1, 10) as page, count(*) as n_page, any_value(n_news) as n_news,
+select symbol, week_idx, page, count(*) as n_page, any_value(n_news) as n_news,
        string_agg(concat_ws('|', date, coalesce(headline, 'None'), summary), chr(10) order by {ART_ORDER}) as news_list
-from (select *, count(*) over (partition by symbol, week_idx) as n_news from art_weeks)
-group by symbol, week_idx, substr(date, 1, 10)"""
+from (select *, count(*) over (partition by symbol, week_idx) as n_news,
+             ((row_number() over (partition by symbol, week_idx order by {ART_ORDER}) - 1) // {NEWS_PAGE})::int as page
+      from art_weeks)
+group by symbol, week_idx, page"""
 SQL["pivot_basics"] = with_(BASICS_LONG, """twice AS (
   select symbol, period, metric, case when metric = 'peTTM' then v - 0.5 else v end as v from basics_long)""",
                             BMAP.replace("from basics_long", "from twice")) + "select symbol, period, metrics_text from bmap"

@@ -1,9 +1,9 @@
 """Offline prompts with rolling history.
 
-Texts are built late and small (rewrite R3): each week first becomes one
-block string (header + at most five article lines), and only those blocks
-enter the history window, so a window frame holds ``max_weeks`` short
-strings per row.
+Each week first becomes one block (header and at most five articles, which are
+whole texts), written once.  History is found on keys; a block then goes to
+the weeks that want it by an equi-join on (symbol, week), so no task holds or
+sorts the texts of a symbol.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from mktpanel.functions import text as T
 from mktpanel.operators.aggregates import first_news
 from mktpanel.operators.filters import drop_boilerplate
 from mktpanel.operators.joins import attach_profile
-from mktpanel.operators.windows import history_gate, history_window
+from mktpanel.operators.windows import history_gate, history_join
 from mktpanel.plans.panel import Panel
+from mktpanel.session import materialize
 from mktpanel.sources.universe import with_asset_class
 
 
@@ -50,14 +51,17 @@ def build_prompts(panel: Panel, profiles: DataFrame, members: DataFrame,
     header and news (they reveal the label being predicted).
     Returns ``(symbol, week_idx, start_date, end_date, asset_class, prompt)``.
     """
-    weeks = history_gate(history_window(week_blocks(panel), "block", max_weeks), min_weeks)
-    # After the window: profile columns need not ride through its sort.
-    weeks = attach_profile(with_asset_class(weeks, members), profiles)
+    # Whatever is joined by symbol alone is joined to the narrow weeks, before texts.
+    weeks = attach_profile(with_asset_class(panel.weeks, members), profiles)
+    weeks = weeks.select(*panel.weeks.columns, "asset_class", intro_text().alias("intro"))
+    blocks = week_blocks(panel._replace(weeks=weeks)).select(
+        "symbol", "week_idx", "start_date", "end_date", "asset_class", "intro", "basics_period", "basics_metrics", "block")
+    weeks = history_gate(history_join(materialize(blocks, "week-blocks"), "block", max_weeks), min_weeks)
     basics = F.when(F.col("asset_class") == "crypto", F.lit(fixed.HIGHLIGHTS_EMPTY)).otherwise(
         T.basics_highlights("basics_period", "basics_metrics"))
-    parts = [intro_text(), F.lit("\n\n"), F.array_join("history", "\n\n"), F.lit("\n\n")]
+    parts = [F.col("intro"), F.lit("\n\n"), F.array_join("history", "\n\n"), F.lit("\n\n")]
     if include_target:
-        parts += [F.col("header"), F.lit("\n"), F.col("news_text"), F.lit("\n\n")]
+        parts += [F.col("block"), F.lit("\n\n")]
     parts += [basics, T.task_ending("symbol", "start_date", "end_date")]
     prompt = T.py_strip(F.concat(*parts))
     return weeks.select("symbol", "week_idx", "start_date", "end_date", "asset_class", prompt.alias("prompt"))

@@ -45,6 +45,7 @@ ONLINE_WEEKS = fixed.DEFAULT_ONLINE_WEEKS
 MIN_WEEKS, MAX_WEEKS, RATIO = fixed.DEFAULT_MIN_WEEKS, fixed.DEFAULT_MAX_WEEKS, fixed.DEFAULT_TRAIN_RATIO
 TOP_K = fixed.NEWS_TOP_K
 SEED = 0
+NEWS_PAGE = 2          # articles a page: small, so that the tables' weeks have several
 
 
 def register(name: str):
@@ -392,7 +393,7 @@ def q_pending_prompts(spark, d):
 
 @register("collect_news")
 def q_collect_news(spark, d):
-    lists = A.collect_news(_article_weeks(spark, d))
+    lists = A.collect_news(_article_weeks(spark, d), page_rows=NEWS_PAGE)
     item = lambda e: F.concat_ws("|", e["date"], F.coalesce(e["headline"], F.lit("None")), e["summary"])
     return lists.select("symbol", "week_idx", "page", "n_page", "n_news", _list_text(F.transform("news", item)).alias("news_list"))
 

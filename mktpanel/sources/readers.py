@@ -240,7 +240,7 @@ def read_panel(spark: SparkSession, path: str, symbols=None):
 
 PANEL_CSV = ("symbol string, week_idx int, start_date date, start_price double, end_date date, end_price double, "
              "weekly_return double, bin_label string, basics string")
-NEWS_CSV = "symbol string, week_idx int, start_date date, end_date date, page string, news string"
+NEWS_CSV = "symbol string, week_idx int, start_date date, end_date date, page int, news string"
 _BASICS_CELL = "struct<period:date,metrics:map<string,double>>"
 _NEWS_CELL = "array<struct<date:string,headline:string,summary:string>>"
 _CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "emptyValue": "", "nullValue": "\\N",
@@ -248,10 +248,10 @@ _CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "emptyVa
 
 
 def write_panel_json(weeks: DataFrame, news: DataFrame, path: str) -> None:
-    """Panel as CSV with JSON cells (S8, C23): a basics cell per week, a news cell per week and stamp hour.
+    """Panel as CSV with JSON cells (S8, C23): a basics cell per week, a news cell per page of a week.
 
-    The news cells of a week in page order are its whole list; pages keep a hot
-    week out of one cell.
+    The news cells of a week in page order are its whole list; no cell holds
+    more than ``PAGE_ROWS`` articles.
     """
     keep = {"ignoreNullFields": "false"}
     basics = F.to_json(F.struct(F.col("basics_period").alias("period"), F.col("basics_metrics").alias("metrics")), keep)

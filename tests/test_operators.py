@@ -10,6 +10,7 @@ from mktpanel.operators import joins as J
 from mktpanel.operators import sampling as K
 from mktpanel.operators import timeseries as TS
 from mktpanel.operators import windows as W
+from mktpanel.operators.ranking import with_group_rank
 from tests.conftest import rows
 
 D = dt.date.fromisoformat
@@ -105,6 +106,14 @@ def test_history_sizes_min1_max4(spark):
     assert got[1] == ["b0"] and got[3] == ["b0", "b1", "b2"] and got[9] == ["b5", "b6", "b7", "b8"]
 
 
+def test_history_by_join_equals_history_by_window(spark):
+    data = [("X", w, f"b{w}" if w != 3 else None) for w in (0, 1, 2, 3, 5, 9)] + [("Y", 4, "y")]     # gaps and a NULL
+    df = spark.createDataFrame(data, "symbol string, week_idx int, block string")
+    for n in (1, 2, 4):
+        assert rows(W.history_join(df, "block", n)) == rows(W.history_window(df, "block", n))
+    assert W.history_join(df.limit(0), "block", 2).collect() == []
+
+
 def test_top_news_and_sample_are_bounded_and_ordered(spark):
     data = [("X", 0, f"2023010{d}000000", f"h{d}", "s") for d in range(1, 9)] + [("X", 1, "20230110000000", None, "s")]
     df = spark.createDataFrame(data, "symbol string, week_idx int, date string, headline string, summary string")
@@ -119,9 +128,34 @@ def test_top_news_and_sample_are_bounded_and_ordered(spark):
 def test_collect_news_keeps_every_article_in_order(spark):
     data = [("X", 0, f"202301010{d // 3}00{d % 3}00", h, "s") for d, h in enumerate(["b", "a", None, "d", "e", "f", "g"])]
     df = spark.createDataFrame(data + data[:1], "symbol string, week_idx int, date string, headline string, summary string")
-    pages = sorted(A.collect_news(df).collect(), key=lambda r: r.page)
+    pages = sorted(A.collect_news(df, page_rows=3).collect(), key=lambda r: r.page)
     assert [e.headline for r in pages for e in r.news] == ["b", "b", "a", None, "d", "e", "f", "g"]
-    assert [r.n_page for r in pages] == [4, 3, 1] and all(r.n_news == 8 for r in pages)
+    assert [(r.page, r.n_page) for r in pages] == [(0, 3), (1, 3), (2, 2)] and all(r.n_news == 8 for r in pages)
+    assert [r.n_page for r in A.collect_news(df).collect()] == [8]
+    assert A.collect_news(df.limit(0)).collect() == []
+
+
+def test_one_second_with_very_many_articles_is_many_pages_and_tasks(spark):
+    """100,000 articles of one symbol and stamp, a third of them equal, beside a small group."""
+    i = F.col("id")
+    df = spark.range(100_000, numPartitions=8).select(
+        F.lit("X").alias("symbol"), F.lit(0).alias("week_idx"), F.lit("20230101000000").alias("date"),
+        F.when(i % 3 > 0, F.concat(F.lit("h"), F.lpad((i * 7919 % 100_000).cast("string"), 6, "0"))).alias("headline"),
+        F.lit("s").alias("summary"))
+    df = df.unionByName(spark.range(5).select(F.lit("Y").alias("symbol"), F.lit(1).alias("week_idx"), F.lit("2").alias("date"),
+                                              F.col("id").cast("string").alias("headline"), F.lit("s").alias("summary")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")        # no joining of small ranges
+    try:
+        ranked = with_group_rank(df, ["symbol", "week_idx"], ["date", "headline", "summary"])
+        spread = ranked.where("symbol = 'X'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(spread) == 4 and max(r["count"] for r in spread) < 40_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert ranked.where("symbol = 'X' and n = 100000").agg(F.countDistinct("rank"), F.min("rank"), F.max("rank")).first() == (100_000, 0, 99_999)
+    pages = A.collect_news(df).orderBy("symbol", "page").collect()
+    assert max(r.n_page for r in pages) == A.PAGE_ROWS and len(pages) == 1001
+    listed = [e.headline for r in pages[:1000] for e in r.news]
+    assert listed == sorted(listed, key=lambda h: h or "") and len(listed) == 100_000
 
 
 def test_first_news_is_cut(spark):

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,14 +56,26 @@ def test_panel_plan_has_no_nested_loop_or_cartesian(panel):
         assert "CartesianProduct" not in txt and "BroadcastNestedLoopJoin" not in txt
 
 
-def test_prompt_plan_is_jvm_only_and_topk_is_map_side(prompts):
-    txt = plan_text(prompts)
+def test_prompt_plan_is_jvm_only_and_topk_is_map_side(panel, prompts):
+    txt = plan_text(PR.week_blocks(panel)) + plan_text(prompts)      # the blocks are written, then joined
     for python_node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert python_node not in txt
     # top-5 articles per week: partial limit before the shuffle and a final one after it
     assert txt.count("WindowGroupLimit") >= 2
 
 
+def test_no_text_moves_or_is_sorted_by_symbol_alone(panel, prompts):
+    """Exchanges, sorts and windows keyed by symbol alone carry keys, not blocks or articles."""
+    seen = 0
+    for df in (PR.week_blocks(panel), prompts):
+        for node in re.split(r"\n\s*\n", plan_text(df, "formatted")):
+            if re.match(r"\s*\(\d+\) (Exchange|Sort|Window)\b", node) and re.search(
+                    r"hashpartitioning\(symbol#\d+, \d+\)|: \[symbol#\d+ ASC NULLS FIRST\]|, \[symbol#\d+\], \[week_idx", node):
+                seen += 1
+                assert not re.search(r"\b(block|_text|text|news|summary|prompt)#", node), node
+    assert seen >= 2
+
+
 def test_history_size_is_min_of_week_and_max(spark, panel):
     from mktpanel.operators.windows import history_window
     blocks = PR.week_blocks(panel)
