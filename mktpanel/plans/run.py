@@ -18,6 +18,7 @@ from mktpanel.plans.panel import Panel, build_panel
 from mktpanel.plans.prompts import build_prompts
 from mktpanel.session import materialize
 from mktpanel.sources import readers as R
+from mktpanel.sources.answer_log import SLOTS, AnswerLog
 from mktpanel.sources.universe import universe
 
 
@@ -34,10 +35,13 @@ def run_all(spark: SparkSession, prices: DataFrame, news: DataFrame, basics_long
             profiles: DataFrame, members: DataFrame, base_dir: str, factory: GeneratorFactory,
             index_name: str = "dow", start_date: str | None = None, end_date: str | None = None,
             min_weeks: int = fixed.DEFAULT_MIN_WEEKS, max_weeks: int = fixed.DEFAULT_MAX_WEEKS,
-            train_ratio: float = fixed.DEFAULT_TRAIN_RATIO, partitions: int | None = None) -> DataFrame:
+            train_ratio: float = fixed.DEFAULT_TRAIN_RATIO, partitions: int | None = None,
+            answer_batches: int = SLOTS) -> DataFrame:
     """Run every stage for one index and date range; returns the dataset as written.
 
-    ``partitions``: number of generator tasks (see ``generate_answers``).
+    ``partitions``: number of generator tasks (see ``generate_answers``);
+    ``answer_batches``: how many batches answers are committed in (fixed when the
+    answer log is started).
     """
     members_u = universe(members, index_name)          # raises on a bad index name
     with_basics = index_name != "crypto"
@@ -67,11 +71,12 @@ def run_all(spark: SparkSession, prices: DataFrame, news: DataFrame, basics_long
     weeks, wnews = R.read_panel(spark, panel_dir)
     panel = Panel(weeks, wnews)
 
-    # 2. prompts and answers for prompts not yet answered
+    # 2. prompts and answers for prompts not yet answered (J8, S9), batch by batch: a killed run keeps
+    # its finished batches, and runs at once leave one answer each
     prompts = build_prompts(panel, profiles, members, min_weeks, max_weeks)
-    old = R.read_answers(spark, answers_dir) if _exists(spark, answers_dir, R.ANSWERS_SCHEMA) else None
-    R.append_answers(generate_answers(prompts, old, factory, partitions), answers_dir)
-    answers = R.read_answers(spark, answers_dir)
+    log = AnswerLog(spark, answers_dir, answer_batches)
+    log.append(prompts, lambda some, old: generate_answers(some, old, factory, partitions))
+    answers = log.read()
 
     # 3. training rows and split
     rows = training_rows(answers, weeks, members).rows

@@ -33,6 +33,7 @@ from mktpanel.session import materialize, shared_dir
 from mktpanel.sources import fixtures as fx
 from mktpanel.sources import readers as R
 from mktpanel.sources import universe as U
+from mktpanel.sources.answer_log import AnswerLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +46,7 @@ ONLINE_WEEKS = fixed.DEFAULT_ONLINE_WEEKS
 MIN_WEEKS, MAX_WEEKS, RATIO = fixed.DEFAULT_MIN_WEEKS, fixed.DEFAULT_MAX_WEEKS, fixed.DEFAULT_TRAIN_RATIO
 TOP_K = fixed.NEWS_TOP_K
 SEED = 0
+ANSWER_BATCHES = 4
 NEWS_PAGE = 2          # articles a page: small, so that the tables' weeks have several
 
 
@@ -213,12 +215,11 @@ def q_panel_json_roundtrip(spark, d):
 
 @register("answers_append")
 def q_answers_append(spark, d):
-    path = shared_dir(spark, "answers")
-    prompts = Ctx(spark, d).prompts
-    R.append_answers(G.generate_answers(prompts, None, G.canned_generator), path)
-    # A second run finds every prompt answered and appends nothing.
-    R.append_answers(G.generate_answers(prompts, R.read_answers(spark, path), G.canned_generator), path)
-    return R.read_answers(spark, path).select("symbol", "week_idx", "answer")
+    log = AnswerLog(spark, shared_dir(spark, "answers"), ANSWER_BATCHES)
+    prompts = materialize(Ctx(spark, d).prompts, "prompts")
+    for _ in range(2):       # the second run finds every prompt answered and commits nothing
+        log.append(prompts, lambda some, old: G.generate_answers(some, old, G.canned_generator))
+    return log.read().select("symbol", "week_idx", "answer")
 
 
 @register("dataset_roundtrip")
@@ -680,7 +681,8 @@ def _full_run(spark, d, index_name, start=None, end=None):
     c = Ctx(spark, d)
     return RUN.run_all(spark, c.prices, c.news, c.basics_long, c.profiles, c.members, shared_dir(spark, "run"),
                        G.canned_generator, index_name=index_name, start_date=start, end_date=end,
-                       min_weeks=MIN_WEEKS, max_weeks=MAX_WEEKS, train_ratio=RATIO)
+                       min_weeks=MIN_WEEKS, max_weeks=MAX_WEEKS, train_ratio=RATIO,
+                       answer_batches=ANSWER_BATCHES)
 
 
 @register("full_run")

@@ -80,7 +80,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{path}/table"
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", partition_by: str | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Used at stage boundaries whose result is small and read by several
@@ -90,5 +90,6 @@ def materialize(df, name: str = "stage"):
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

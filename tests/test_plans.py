@@ -12,9 +12,10 @@ from mktpanel.plans import generate as G
 from mktpanel.plans import panel as P
 from mktpanel.plans import prompts as PR
 from mktpanel.plans import run as RUN
-from mktpanel.session import shared_dir
+from mktpanel.session import materialize, shared_dir
 from mktpanel.sources import fixtures as fx
 from mktpanel.sources import readers as R
+from mktpanel.sources.answer_log import AnswerLog
 from tests.conftest import SF_SMALL, rows
 
 
@@ -384,3 +385,66 @@ def test_article_pages_add_up(spark, panel):
     pages = collect_news(panel.news).groupBy("symbol", "week_idx").agg(
         F.sum(F.size("news")).alias("a"), F.sum("n_page").alias("b"), F.max("n_news").alias("n"))
     assert pages.where("a <> n or b <> n").count() == 0 and pages.agg(F.sum("n")).first()[0] == panel.news.count()
+
+
+def _prompts(spark, n):
+    return spark.range(n).selectExpr("concat('S', id % 3) symbol", "cast(id as int) week_idx", "'company' asset_class", "concat('p', id) prompt")
+
+
+def _answering(factory=G.canned_generator):
+    return lambda some, old: G.generate_answers(some, old, factory, partitions=2)
+
+
+def test_killed_run_keeps_its_finished_batches(spark):
+    path, prompts = shared_dir(spark, "log-killed"), _prompts(spark, 90)
+    batches = []
+
+    def stopping(some, old):
+        if len(batches) == 2:
+            raise KeyboardInterrupt
+        batches.append(some.count())
+        return _answering()(some, old)
+
+    log = AnswerLog(spark, path, slots=5)
+    with pytest.raises(KeyboardInterrupt):
+        log.append(prompts, stopping)
+    assert log.read().count() == sum(batches) > 0
+    # A batch whose writer died before its commit does not count, and is swept away.
+    log.read().write.parquet(f"{path}/data/00004-dead")
+    assert log.read().count() == sum(batches)
+    assert log.append(prompts, _answering()) == 3
+    done = AnswerLog(spark, path).read()               # the log knows its slots
+    assert done.count() == done.select("symbol", "week_idx").distinct().count() == 90
+    assert log.append(prompts, _answering()) == 0
+    assert log.drop_uncommitted() == ["00004-dead"] and log.read().count() == 90
+    assert log.append(_prompts(spark, 100), _answering()) > 0 and log.read().count() == 100
+
+
+def test_two_runs_at_once_leave_each_key_once(spark):
+    path, prompts = shared_dir(spark, "log-two"), _prompts(spark, 60)
+    other = AnswerLog(spark, path, slots=3)
+    met = []
+
+    def late(some, old):
+        """Another run answers the same slot after this one has looked at it."""
+        new = materialize(_answering()(some, old), "mine")
+        if not met:
+            met.append(other.append(some, _answering()))
+        return new
+
+    log = AnswerLog(spark, path, slots=3)
+    committed = log.append(prompts, late)
+    done = log.read()
+    assert met == [1] and committed == 2
+    assert done.count() == done.select("symbol", "week_idx").distinct().count() == 60
+    assert log.drop_uncommitted() == []
+
+
+def test_commits_are_never_replaced_nor_seen_by_half(spark):
+    log = AnswerLog(spark, shared_dir(spark, "log-files"), slots=1)
+    assert log.append(_prompts(spark, 5), _answering()) == 1
+    before = log.commits()
+    assert log._commit(0, 1, "another") is False and log.commits() == before
+    assert [n for n in log._files.names(f"{log.root}/commits")] == ["00000-000001"]
+    log._files.fs.create(log._files.path(f"{log.root}/commits/.written-aside"), False).close()
+    assert log.commits() == before and log.read().count() == 5
