@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mktpanel.functions.text import news_day, news_stamp
+from mktpanel.operators.intervals import join_days_to_intervals
 from mktpanel.operators.timeseries import sunday_on_or_after
 
 
@@ -48,20 +49,21 @@ def attach_news(weeks: DataFrame, news: DataFrame) -> DataFrame:
                      "date", "headline", "summary"))
 
 
-def news_in_intervals(intervals: DataFrame, news: DataFrame, lo, hi, key: str = "row_idx") -> DataFrame:
+def news_in_intervals(intervals: DataFrame, news: DataFrame, lo=None, hi=None, key: str = "row_idx") -> DataFrame:
     """Articles inside irregular ``[start_date, end_date]`` intervals (generic J1 form, P8).
 
-    News is first cut to the day range ``[lo, hi]`` (pushed to the scan).  An
-    interval is expanded to its days, so this is an equi-join on (symbol, day):
-    no range condition, and a hot symbol spreads over its days.
+    News is first cut to the day range ``[lo, hi]`` if given (pushed to the
+    scan).  Intervals, which may be years long and overlap, are covered by
+    aligned blocks of days, so this is an equi-join on (symbol, level, block)
+    whose input does not grow with their length (``operators.intervals``).
     """
-    lo_d = F.lit(lo).cast("date") if isinstance(lo, str) else lo
-    hi_d = F.lit(hi).cast("date") if isinstance(hi, str) else hi
-    a = article_days(news).where(F.col("day").between(lo_d, hi_d))
-    iv = intervals.where(F.col("start_date") <= F.col("end_date")).select(
-        "symbol", key, "start_date", "end_date", F.explode(F.sequence("start_date", "end_date")).alias("day"))
-    return (a.join(iv, ["symbol", "day"])
-             .select("symbol", key, "start_date", "end_date", "date", "headline", "summary"))
+    a = article_days(news)
+    if lo is not None:
+        a = a.where(F.col("day") >= (F.lit(lo).cast("date") if isinstance(lo, str) else lo))
+    if hi is not None:
+        a = a.where(F.col("day") <= (F.lit(hi).cast("date") if isinstance(hi, str) else hi))
+    return (join_days_to_intervals(a, intervals, key)
+            .select("symbol", key, "start_date", "end_date", "date", "headline", "summary"))
 
 
 def attach_basics(weeks: DataFrame, basics: DataFrame, always: bool = False) -> DataFrame:

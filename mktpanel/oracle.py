@@ -20,6 +20,7 @@ ONLINE_WEEKS = 3
 MIN_WEEKS, MAX_WEEKS, RATIO = 1, 4, 0.6
 TOP_K = 5
 NEWS_PAGE = 2
+LONG_DAYS = 1461
 
 
 def q(s: str) -> str:
@@ -456,6 +457,11 @@ from (select *, count(*) over (partition by symbol, week_idx) as n_news,
              ((row_number() over (partition by symbol, week_idx order by {ART_ORDER}) - 1) // {NEWS_PAGE})::int as page
       from art_weeks)
 group by symbol, week_idx, page"""
+SQL["news_long_intervals"] = with_(PRICES, NEWS, WEEKLY, NEWS_DAYS) + f"""
+select w.symbol, w.week_idx as row_idx, w.start_date, w.end_day as end_date, count(*) as n_news, {DIGEST} as news_digest
+from (select *, start_date + ((week_idx * 37 + 1) % {LONG_DAYS})::int as end_day from weekly) w
+join news_days n on n.symbol = w.symbol and n.day between w.start_date and w.end_day
+group by w.symbol, w.week_idx, w.start_date, w.end_day"""
 SQL["pivot_basics"] = with_(BASICS_LONG, """twice AS (
   select symbol, period, metric, case when metric = 'peTTM' then v - 0.5 else v end as v from basics_long)""",
                             BMAP.replace("from basics_long", "from twice")) + "select symbol, period, metrics_text from bmap"

@@ -47,6 +47,7 @@ MIN_WEEKS, MAX_WEEKS, RATIO = fixed.DEFAULT_MIN_WEEKS, fixed.DEFAULT_MAX_WEEKS,
 TOP_K = fixed.NEWS_TOP_K
 SEED = 0
 ANSWER_BATCHES = 4
+LONG_DAYS = 1461       # days of the longest interval of news_long_intervals
 NEWS_PAGE = 2          # articles a page: small, so that the tables' weeks have several
 
 
@@ -332,6 +333,17 @@ def q_news_interval_join(spark, d):
     return _article_weeks(spark, d)
 
 
+@register("news_long_intervals")
+def q_news_long_intervals(spark, d):
+    # Every week opens an interval of up to four years: long, irregular and overlapping.
+    length = (F.col("week_idx") * 37 + 1) % LONG_DAYS
+    iv = _weekly(spark, d).select("symbol", F.col("week_idx").alias("row_idx"), "start_date",
+                                  F.date_add("start_date", length.cast("int")).alias("end_date"))
+    found = J.news_in_intervals(iv, fx.news(spark, d))
+    return found.groupBy("symbol", "row_idx", "start_date", "end_date").agg(
+        F.count(F.lit(1)).alias("n_news"), P.articles_digest().alias("news_digest"))
+
+
 def _basics_asof(spark, d, always):
     c = Ctx(spark, d)
     w = J.attach_basics(TS.weekly_returns(c.prices), A.pivot_basics(c.basics_long), always=always)

@@ -207,3 +207,38 @@ def test_evaluate_macro_average(spark):
     assert rep["A"].samples == 2.0 and rep["A"].directional_accuracy == 0.5 and rep["A"].full_accuracy == 0.5
     assert rep["B"].missing_predictions == 1.0 and rep["B"].directional_accuracy == 0.0
     assert rep["Average"].samples == 1.5 and rep["Average"].directional_accuracy == 0.25
+
+
+def test_cover_is_the_interval_and_small(spark):
+    import random
+    from mktpanel.operators import intervals as IV
+    rnd = random.Random(4)
+    cases = [(rnd.randrange(-2000, 20000), rnd.choice([0, 1, 6, 7, 8, 63, 64, 500, 9000])) for _ in range(300)]
+    df = spark.createDataFrame([(a, a + n) for a, n in cases], "a long, b long")
+    for fan in (2, 8):
+        levels = 14 if fan == 2 else IV.LEVELS
+        got = df.select("a", "b", IV.cover(F.col("a"), F.col("b"), fan, levels).alias("c")).collect()
+        for r in got:
+            days = [d for x in r.c for d in range(x.block * fan ** x.level, (x.block + 1) * fan ** x.level)]
+            assert sorted(days) == list(range(r.a, r.b + 1))
+            assert len(r.c) <= 2 * fan * (1 + max(x.level for x in r.c))
+
+
+def test_interval_join_equals_range_join_and_its_input_does_not_grow_with_length(spark):
+    from mktpanel.operators import intervals as IV
+    day0 = F.lit("2000-01-01").cast("date")
+    news = spark.range(600).select(F.when(F.col("id") % 3 == 0, "X").otherwise("Y").alias("symbol"),
+                                   (F.lit(946684800) + F.col("id") * 86400 * 9).alias("datetime"), F.col("id").cast("string").alias("headline"),
+                                   F.lit("s").alias("summary"))
+    def intervals(days):
+        return spark.range(40).select(F.when(F.col("id") % 2 == 0, "X").otherwise("Y").alias("symbol"), F.col("id").cast("int").alias("row_idx"),
+                                      F.date_add(day0, (F.col("id") * 50).cast("int")).alias("start_date"),
+                                      F.date_add(day0, (F.col("id") * 50 + days - F.col("id")).cast("int")).alias("end_date"))
+    for days in (3, 30, 6000):
+        got = J.news_in_intervals(intervals(days), news).select("symbol", "row_idx", "headline")
+        a, iv = J.article_days(news), intervals(days)
+        want = a.join(iv, (a.symbol == iv.symbol) & a.day.between(iv.start_date, iv.end_date)).select(a.symbol, "row_idx", "headline")
+        assert rows(got) == rows(want) and (days == 3 or len(rows(got)) > 0)
+    rows_in = {d: IV.interval_blocks(intervals(d), ["symbol"]).count() for d in (60, 600, 6000)}
+    assert rows_in[6000] <= 40 * 2 * IV.FAN * IV.LEVELS and rows_in[6000] < 4 * rows_in[600] < 40 * 600
+    assert J.news_in_intervals(intervals(3).limit(0), news).collect() == []
