@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from mktpanel.functions.text import news_day, news_stamp
 from mktpanel.operators.intervals import join_days_to_intervals
 from mktpanel.operators.timeseries import sunday_on_or_after
+from mktpanel.operators.windows import lag_in_blocks
+from mktpanel.session import materialize
 
 
 def article_days(news: DataFrame) -> DataFrame:
@@ -71,22 +73,33 @@ def attach_basics(weeks: DataFrame, basics: DataFrame, always: bool = False) ->
 
     Default: the period must also be on or after the start of the row two
     rows back, and rows 0 and 1 get none (W3).  ``always=True``
-    drops the lower bound for every row.
-
-    Rewrite R2: week rows and periods are unioned per symbol and ordered by
-    (date, kind) with week rows first on ties, so ``last(ignorenulls)`` over
-    the running frame yields the latest period strictly before the week end.
-    One window pass over weeks + periods per symbol: linear, no range join.
+    drops the lower bound for every row.  A period without a date is none.
+
+    Rewrite R2 in two levels: week rows and periods are ordered by (date, kind)
+    within (symbol, quarter), week rows first on ties, so the last period so
+    far lies strictly before the week end.  Where a quarter has none yet, the
+    last one of the quarters before it is carried in, found over one row per
+    symbol and quarter.  Linear, no range join, and no window over a whole
+    symbol's rows.
     """
-    b = basics.select("symbol", F.col("period").alias("_t"), F.lit(1).alias("_kind"),
-                      F.struct(F.col("period").alias("period"), F.col("metrics").alias("metrics")).alias("_b"))
-    two_back = F.lag("start_date", 2).over(Window.partitionBy("symbol").orderBy("week_idx"))
-    w = weeks.select(*weeks.columns, two_back.alias("_lower"), F.col("end_date").alias("_t"), F.lit(0).alias("_kind"),
-                     F.lit(None).cast(b.schema["_b"].dataType).alias("_b"))
+    b = basics.where(F.col("period").isNotNull()).select(
+        "symbol", F.col("period").alias("_t"), F.lit(1).alias("_kind"),
+        F.struct(F.col("period").alias("period"), F.col("metrics").alias("metrics")).alias("_b"))
+    if not always:
+        weeks_in = lag_in_blocks(materialize(weeks, "weeks"), "start_date", 2, "_lower")
+    else:
+        weeks_in = weeks.withColumn("_lower", F.lit(None).cast("date"))
+    w = weeks_in.select(*weeks.columns, "_lower", F.col("end_date").alias("_t"), F.lit(0).alias("_kind"),
+                        F.lit(None).cast(b.schema["_b"].dataType).alias("_b"))
+    quarter = (F.year("_t") * 4 + F.quarter("_t")).alias("_q")
     u = w.unionByName(b, allowMissingColumns=True)
-    win = Window.partitionBy("symbol").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    asof = (u.withColumn("_last", F.last("_b", ignorenulls=True).over(win))
-             .where(F.col("_kind") == 0))
+    u = materialize(u.select(*u.columns, quarter), "weeks-and-periods")
+    inside = Window.partitionBy("symbol", "_q").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    asof = u.withColumn("_near", F.last("_b", ignorenulls=True).over(inside)).where(F.col("_kind") == 0)
+    ends = u.groupBy("symbol", "_q").agg(F.max_by("_b", F.when(F.col("_kind") == 1, F.col("_t"))).alias("_end"))
+    before = Window.partitionBy("symbol").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("symbol", "_q", F.last("_end", ignorenulls=True).over(before).alias("_far"))
+    asof = asof.join(carried, ["symbol", "_q"]).withColumn("_last", F.coalesce("_near", "_far"))
     keep = F.col("_last").isNotNull()
     if not always:
         keep = keep & F.coalesce(F.col("_last.period") >= F.col("_lower"), F.lit(False))

@@ -157,19 +157,22 @@ def asof_forward(steps: DataFrame, prices: DataFrame, curday, n_weeks: int,
                  price_col: str = "close") -> DataFrame:
     """First trading row on or after each step (T6), among rows in ``[step0, curday)``.
 
-    The day window is pushed to the price scan; steps are a handful per symbol.
-    The range condition is evaluated after an equi-join on symbol whose
-    candidates per symbol are bounded by the ``n_weeks`` window of days.
-    Steps with no later row are absent.  The last step (``curday``) is not
-    looked up: it is closed by ``recent_intervals``.
+    The day window is pushed to the price scan.  In two levels: each step's own
+    seven days give their first trading row, by a partial aggregate, and a step
+    without one takes the next step's that has, over a handful of rows per
+    symbol.  Steps with no later row are absent.  The last step (``curday``) is
+    not looked up: it is closed by ``recent_intervals``.
     """
     d = F.lit(curday).cast("date") if isinstance(curday, str) else curday
     day0 = F.date_sub(d, 7 * n_weeks)
-    window = prices.where((F.col("date") >= day0) & (F.col("date") < d)).select("symbol", "date", price_col)
-    s = steps.where(F.col("step") < d)
-    j = s.join(window, "symbol").where(F.col("date") >= F.col("step"))
-    return (j.groupBy("symbol", "step_idx", "step")
-             .agg(F.min("date").alias("date"), F.min_by(price_col, "date").alias("price")))
+    window = prices.where((F.col("date") >= day0) & (F.col("date") < d))
+    slot = F.floor(F.datediff("date", day0) / 7).cast("int").alias("step_idx")
+    firsts = window.groupBy("symbol", slot).agg(F.min_by(F.struct("date", F.col(price_col).alias("price")), "date").alias("_first"))
+    s = steps.where(F.col("step") < d).select("symbol", "step_idx", "step")
+    later = Window.partitionBy("symbol").orderBy("step_idx").rowsBetween(0, Window.unboundedFollowing)
+    j = s.join(firsts, ["symbol", "step_idx"], "left").withColumn("_next", F.first("_first", ignorenulls=True).over(later))
+    return (j.where(F.col("_next").isNotNull())
+             .select("symbol", "step_idx", "step", F.col("_next.date").alias("date"), F.col("_next.price").alias("price")))
 
 
 def recent_intervals(symbols: DataFrame, prices: DataFrame, curday, n_weeks: int = 3,

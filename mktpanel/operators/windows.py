@@ -57,6 +57,31 @@ def chrono_split(df: DataFrame, ratio: float, by: str = "symbol", order: str = "
     return df.withColumn(out, F.when(F.row_number().over(w) <= train, F.lit("train")).otherwise(F.lit("test")))
 
 
+def lag_in_blocks(df: DataFrame, col: str, n: int, out: str, by: str = "symbol", order: str = "week_idx",
+                  block: int = 64) -> DataFrame:
+    """``lag(col, n)`` over the rows of ``by`` in ``order`` (W3), without a window over all of them.
+
+    Rows are taken in blocks of ``block`` values of ``order``.  The first rows
+    of a block look back into the last ``n`` values of the blocks before it,
+    which come from one row per block.  Keys are unique; ``df`` is read twice,
+    so give it a written table.
+    """
+    rows = df.withColumn("_block", F.floor(F.col(order) / block))
+    value = F.struct(F.col(col).alias("v"))       # a NULL is a value too
+    inside = Window.partitionBy(by, "_block").orderBy(order)
+    rows = rows.withColumn("_near", F.lag(value, n).over(inside)).withColumn("_place", F.row_number().over(inside))
+    tails = rows.groupBy(by, "_block").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("s")))).alias("_all"))
+    tails = tails.select(by, "_block", F.transform(F.slice("_all", -F.least(F.lit(n), F.size("_all")), n), lambda e: e["s"]).alias("_tail"))
+    blocks = Window.partitionBy(by).orderBy("_block")
+    none = F.array().cast(tails.schema["_tail"].dataType)
+    # Each block before has a row at least, so n blocks reach far enough.
+    past = F.concat(*[F.coalesce(F.lag("_tail", i).over(blocks), none) for i in range(n, 0, -1)])
+    past = tails.select(by, "_block", past.alias("_past"))
+    far = F.try_element_at("_past", (F.col("_place") - n - 1).cast("int"))
+    out_value = F.when(F.col("_place") > n, F.col("_near")).otherwise(far)
+    return rows.join(past, [by, "_block"]).withColumn(out, out_value["v"]).drop("_block", "_near", "_place", "_past")
+
+
 def train_cutoffs(keys: DataFrame, ratio: float, by: str = "symbol", order=("week_idx",)) -> DataFrame:
     """Per symbol the last key of its train rows: ``(by, _cut struct<order...>)``, NULL where none is train.
 

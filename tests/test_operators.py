@@ -242,3 +242,32 @@ def test_interval_join_equals_range_join_and_its_input_does_not_grow_with_length
     rows_in = {d: IV.interval_blocks(intervals(d), ["symbol"]).count() for d in (60, 600, 6000)}
     assert rows_in[6000] <= 40 * 2 * IV.FAN * IV.LEVELS and rows_in[6000] < 4 * rows_in[600] < 40 * 600
     assert J.news_in_intervals(intervals(3).limit(0), news).collect() == []
+
+
+def test_lag_in_blocks_equals_lag(spark):
+    from pyspark.sql import Window
+    data = [("X", w, w * 10 if w % 7 else None) for w in list(range(0, 30)) + [64, 128, 200, 201, 202, 500]] + [("Y", 3, 1)]
+    df = spark.createDataFrame(data, "symbol string, week_idx int, v int")
+    for n in (1, 2, 3):
+        want = df.withColumn("o", F.lag("v", n).over(Window.partitionBy("symbol").orderBy("week_idx")))
+        for block in (1, 4, 64):
+            assert rows(W.lag_in_blocks(df, "v", n, "o", block=block).select(want.columns), "symbol", "week_idx", F.coalesce("o", F.lit(-1))) \
+                == rows(want, "symbol", "week_idx", F.coalesce("o", F.lit(-1)))
+
+
+def test_asof_in_quarters_equals_the_plain_condition(spark):
+    """Quarters without periods, periods on a week's end, several periods a quarter, symbols without any."""
+    import random
+    rnd = random.Random(9)
+    day = lambda i: dt.date(2000, 1, 2) + dt.timedelta(days=i)
+    weeks = [(s, i, day(7 * i - 7), day(7 * i)) for s in "XYZ" for i in range(150)]
+    basics = [(s, day(d), {"m": float(d)}) for s in "XY" for d in {rnd.randrange(-300, 1100) for _ in range(9 if s == "X" else 2)} | {7 * 20}]
+    w = spark.createDataFrame(weeks, "symbol string, week_idx int, start_date date, end_date date")
+    b = spark.createDataFrame(basics + [("X", None, {"m": 1.0})], "symbol string, period date, metrics map<string,double>")
+    for always in (True, False):
+        got = {(r.symbol, r.week_idx): (r.basics_period, r.basics_metrics) for r in J.attach_basics(w, b, always).collect()}
+        for s, i, _, end in weeks:
+            last = max((p for x, p, _ in basics if x == s and p < end), default=None)
+            if not always and (last is None or i < 2 or last < day(7 * (i - 2) - 7)):
+                last = None
+            assert got[s, i] == (last, next((m for x, p, m in basics if x == s and p == last), {})), (s, i, always)

@@ -448,3 +448,13 @@ def test_commits_are_never_replaced_nor_seen_by_half(spark):
     assert [n for n in log._files.names(f"{log.root}/commits")] == ["00000-000001"]
     log._files.fs.create(log._files.path(f"{log.root}/commits/.written-aside"), False).close()
     assert log.commits() == before and log.read().count() == 5
+
+
+def test_asof_has_no_window_over_a_symbol(spark, panel):
+    """Windows by symbol alone run over one row per quarter or block of weeks."""
+    from mktpanel.operators import aggregates as A
+    from mktpanel.operators import joins as J
+    df = J.attach_basics(panel.weekly, A.pivot_basics(fx.basics_long(spark, SF_SMALL)))
+    for node in re.split(r"\n\s*\n", plan_text(df, "formatted")):
+        if re.match(r"\s*\(\d+\) Window\b", node) and re.search(r"windowspecdefinition\(symbol#\d+, (?!_q|_block)\w+#\d+ ASC", node):
+            raise AssertionError(node)
