@@ -79,35 +79,133 @@ def money(x) -> Column:
 
 _SCIENTIFIC = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
 
+# Powers of ten that are exact doubles, and their halves of few bits (whose products have no error).
+_POWERS = [10.0 ** i for i in range(23)]
+_HIGHS = [p * 134217729.0 - (p * 134217729.0 - p) for p in _POWERS]
+_LOWS = [p - h for p, h in zip(_POWERS, _HIGHS, strict=True)]
+
+
+def _over(n: Column, by: Column) -> Column:
+    """Whole-number quotient of non-negative longs."""
+    return F.call_function("div", n, by)
+
+
+def _times_power(x: Column, p: Column) -> Column:
+    """struct<n, rest>: x * 10^p rounded to a whole number and what is left over, exactly (0 <= p <= 22)."""
+    halves = F.struct((x * 134217729.0 - (x * 134217729.0 - x)).alias("high"), F.get(F.lit(_POWERS), p).alias("power"),
+                      F.get(F.lit(_HIGHS), p).alias("power_high"), F.get(F.lit(_LOWS), p).alias("power_low"))
+
+    def multiplied(t: Column) -> Column:
+        low, product = x - t["high"], x * t["power"]
+        error = ((t["high"] * t["power_high"] - product) + low * t["power_high"] + t["high"] * t["power_low"]) + low * t["power_low"]
+        return _let(F.struct(product.alias("product"), error.alias("error")), lambda u: F.struct(
+            (u["product"].cast("long") + F.bround(u["error"], 0).cast("long")).alias("n"),
+            (u["error"] - F.bround(u["error"], 0)).alias("rest")))
+
+    return _let(halves, multiplied)
+
+
+def _divided(x: Column, by: Column) -> Column:
+    """struct<n, rest> of a whole number over 10 or 100."""
+    whole = x.cast("long")
+    n = F.round((whole % by) / by, 0).cast("long") + _over(whole, by)
+    return _let(n, lambda n: F.struct(n.alias("n"), ((whole - n * by) / by).cast("double").alias("rest")))
+
+
+def _seventeen(v: Column, exp: Column, platform: Column) -> Column:
+    """struct<n, rest>: the 17 digits nearest to ``v`` = d.ddd x 10^exp as a number, and what is left over of it.
+
+    For 1e-6 <= v < 9.2e18 the value times (or, if whole, divided by) a power
+    of ten is taken exactly; beyond, ``platform`` has the platform's digits.
+    """
+    return (F.when(~((v >= 1e-6) & (v < _LONG_END)), F.struct(platform.alias("n"), F.lit(0.0).alias("rest")))
+             .when(exp <= 16, _times_power(v, 16 - exp))
+             .otherwise(_divided(v, F.when(exp == 18, F.lit(100)).otherwise(F.lit(10)).cast("long"))))
+
+
+def _shortest(v: Column, exp: Column, platform: Column) -> Column:
+    """``d.dddE±x``: the fewest digits that read back as ``v`` > 0, and of these the nearest to it."""
+    def reads_back(n: Column, digits: int) -> Column:
+        return F.concat(n.cast("string"), F.lit("E"), (exp - digits + 1).cast("string")).cast("double") == v
+
+    def candidates(t: Column) -> Column:
+        n, rest, last = t["n"], t["rest"], t["n"] % 10
+        down = _over(n, F.lit(10))
+        up = (last > 5) | ((last == 5) & ((rest > 0) | ((rest == 0) & (down % 2 == 1))))
+        return F.struct(n.alias("n"), _over(n + 50, F.lit(100)).alias("fifteen"),
+                        (down + F.when(up, 1).otherwise(0)).alias("near"), (down + F.when(up, 0).otherwise(1)).alias("other"))
+
+    def chosen(t: Column) -> Column:
+        pick = lambda n, digits: F.struct(t[n].alias("n"), F.lit(digits).alias("digits"))
+        return F.when(reads_back(t["fifteen"], 15), pick("fifteen", 15)).when(reads_back(t["near"], 16), pick("near", 16)).when(
+            reads_back(t["other"], 16), pick("other", 16)).otherwise(pick("n", 17))
+
+    def written(t: Column) -> Column:
+        digits = F.rtrim(t["n"].cast("string"), F.lit("0"))
+        more = F.when(F.length(digits) > 1, F.substr(digits, F.lit(2))).otherwise(F.lit("0"))
+        return F.concat(F.left(digits, F.lit(1)), F.lit("."), more, F.lit("E"),
+                        (exp + F.length(t["n"].cast("string")) - t["digits"]).cast("string"))
+
+    return _let(_let(_let(_seventeen(v, exp, platform), candidates), chosen), written)
+
+
+def _scientific(x: Column) -> Column:
+    """The shortest ``d.dddE±x`` of a finite value, whatever digits the platform writes.
+
+    Up to 15 digits are the platform's: no two decimals of that length read as
+    one double.  A longer text may have digits too many or a last one too far.
+    """
+    s = F.abs(x).cast("string")
+    mantissa, power = F.split_part(s, F.lit("E"), F.lit(1)), F.split_part(s, F.lit("E"), F.lit(2))
+    whole, frac = F.split_part(mantissa, F.lit("."), F.lit(1)), F.split_part(mantissa, F.lit("."), F.lit(2))
+    zeros = F.length(frac) - F.length(F.ltrim(frac, F.lit("0")))
+    exp = F.when(power != "", power.cast("int")).when(whole != "0", F.length(whole) - 1).otherwise(-1 - zeros)
+    digits = F.rtrim(F.ltrim(F.concat(whole, frac), F.lit("0")), F.lit("0"))
+    sign = F.when(F.startswith(x.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+
+    def text(t: Column) -> Column:
+        n = F.length(t["digits"])
+        more = F.when(n > 1, F.substr(t["digits"], F.lit(2))).otherwise(F.lit("0"))
+        platform = F.rpad(t["digits"], 17, "0").cast("long") + F.when(n > 17, F.when(F.substr(t["digits"], F.lit(18), F.lit(1)) >= "5", 1).otherwise(0)).otherwise(0)
+        short = F.concat(F.left(t["digits"], F.lit(1)), F.lit("."), more, F.lit("E"), t["exp"].cast("string"))
+        return F.concat(t["sign"], F.when(n <= 15, short).otherwise(_shortest(F.abs(x), t["exp"], platform)))
+
+    parts = F.struct(F.when(digits == "", F.lit("0")).otherwise(digits).alias("digits"),
+                     F.when(digits == "", F.lit(0)).otherwise(exp).alias("exp"), sign.alias("sign"))
+    return _let(parts, text)
+
 
 def _python_digits(x: Column) -> Column:
-    """``str(float)`` of a value that Spark writes with an exponent, or that is not finite."""
-    s = x.cast("string")
-    sign, lead, frac = (F.regexp_extract(s, _SCIENTIFIC, i) for i in (1, 2, 3))
-    exp = F.regexp_extract(s, _SCIENTIFIC, 4).cast("int")
-    frac = F.when(frac == "0", F.lit("")).otherwise(frac)
-    digits = F.concat(lead, frac)
-    n = F.length(frac)
-    large = F.when(n <= exp, F.concat(digits, F.repeat(F.lit("0"), exp - n), F.lit(".0"))).otherwise(
-        F.concat(F.left(digits, exp + 1), F.lit("."), F.substr(digits, exp + 2)))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
-    size = F.abs(exp).cast("string")
-    power = F.concat(lead, F.when(n > 0, F.concat(F.lit("."), frac)).otherwise(F.lit("")),
-                     F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")),
-                     F.when(F.length(size) < 2, F.lit("0")).otherwise(F.lit("")), size)
-    written = F.concat(sign, F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power))
+    """``str(float)`` of any value."""
+    def laid_out(s: Column) -> Column:
+        sign, lead, frac = (F.regexp_extract(s, _SCIENTIFIC, i) for i in (1, 2, 3))
+        exp = F.regexp_extract(s, _SCIENTIFIC, 4).cast("int")
+        frac = F.when(frac == "0", F.lit("")).otherwise(frac)
+        digits = F.concat(lead, frac)
+        n = F.length(frac)
+        large = F.when(n <= exp, F.concat(digits, F.repeat(F.lit("0"), exp - n), F.lit(".0"))).otherwise(
+            F.concat(F.left(digits, exp + 1), F.lit("."), F.substr(digits, exp + 2)))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+        size = F.abs(exp).cast("string")
+        power = F.concat(lead, F.when(n > 0, F.concat(F.lit("."), frac)).otherwise(F.lit("")),
+                         F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                         F.when(F.length(size) < 2, F.lit("0")).otherwise(F.lit("")), size)
+        return F.concat(sign, F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power))
+
     return (F.when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-             .when(F.contains(s, F.lit("E")), written).otherwise(s))
+             .otherwise(_let(_scientific(x), laid_out)))
 
 
 def num_text(x) -> Column:
     """``str(float)``: plain digits for exponents -4 to 15, else ``d.de+XX``; NULL prints as ``None``.
 
-    The digits are the platform's; Java before 19 prints one digit too many
-    for a few values of 17 digits.
+    The shortest digits that read back as the same double, on any Java.  Among
+    several of that length the nearest is taken exactly for 1e-6 <= |x| <
+    9.2e18; beyond, the nearest to the platform's digits.
     """
     x = _c(x).cast("double")
-    common = x.between(0.001, 9999999.0) | (x == 0)
+    # A short plain text has at most 15 digits, which need no second look.
+    common = (x.between(0.001, 9999999.0) | (x == 0)) & (F.length(x.cast("string")) <= 16)
     return F.coalesce(F.when(common, x.cast("string")).otherwise(_let(x, _python_digits)), F.lit(fixed.NULL_TEXT))
 
 

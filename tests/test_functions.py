@@ -171,3 +171,21 @@ def test_number_text_equals_python(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     for r in df.select("x", T.money("x").alias("m"), T.num_text("x").alias("n")).collect():
         assert (r.m, r.n) == (("None", "None") if r.x is None else (f"{r.x:.2f}", str(r.x)))
+
+
+def test_number_text_is_the_shortest_on_any_java(spark):
+    """Values for which older platforms write a digit or more too many, beside random ones of every size."""
+    import random
+    import struct
+    rnd = random.Random(6)
+    values = [2e23, 1.1e23, 2.0 ** -44, 2.0 ** 60, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 9007199254740993.0, 0.1 + 0.2,
+              8.41e21, 2.0 ** 70, 9.999999999999999e22, 1e-5, 123456789012345680.0, -4.35e-5, 0.0, -0.0, 100.0, 1e16, 1e15, 99999.99999999999]
+    values += [2.0 ** k for k in range(-60, 64)] + [10.0 ** k for k in range(-30, 30)]
+    values += [rnd.uniform(-1, 1) * 10 ** rnd.randrange(-6, 19) for _ in range(4000)]
+    odd = [struct.unpack("<d", rnd.randbytes(8))[0] for _ in range(3000)]
+    values += [x for x in odd if x == x and abs(x) != float("inf")]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    for r in df.select("x", T.num_text("x").alias("s")).collect():
+        if 1e-6 <= abs(r.x) < 9.2e18 or len(repr(r.x)) < 22:
+            assert r.s == repr(r.x), (repr(r.x), r.s)
+        assert float(r.s) == r.x and len(r.s) == len(repr(r.x))
