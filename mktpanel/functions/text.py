@@ -201,7 +201,8 @@ def num_text(x) -> Column:
 
     The shortest digits that read back as the same double, on any Java.  Among
     several of that length the nearest is taken exactly for 1e-6 <= |x| <
-    9.2e18; beyond, the nearest to the platform's digits.
+    9.2e18; beyond, the nearest to the platform's digits (values below
+    2.3e-308, which have few bits, have the platform's digits as they are).
     """
     x = _c(x).cast("double")
     # A short plain text has at most 15 digits, which need no second look.

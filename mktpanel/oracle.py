@@ -372,6 +372,7 @@ SQL: dict[str, str] = {}
 SQL["scan_prices"] = with_(PRICES) + f"""
 select symbol, date, close, adj_close, volume from prices where date >= date '{SCAN_START}' and date < date '{SCAN_END}'"""
 SQL["unpivot_prices"] = with_(PRICES) + "select symbol, date, close, adj_close, volume from prices"
+SQL["unpivot_price_maps"] = SQL["unpivot_prices"]
 SQL["price_field"] = with_(PRICES, WEEKLY) + "select symbol, date, price from daily"
 SQL["scan_news"] = with_(NEWS) + "select symbol, datetime, headline, summary from news"
 SQL["scan_basics"] = with_(BASICS_LONG) + "select symbol, period, metric, v from basics_long"
@@ -578,6 +579,9 @@ SQL["predicted_label"] = with_(*BASE, ANSWERS, PRED) + "select symbol, week_idx,
 SQL["build_panel"] = SQL["panel_roundtrip"]
 SQL["build_prompts"] = with_(*BASE) + "select symbol, week_idx, start_date, end_date, prompt from prompts"
 SQL["generate_answers"] = with_(*BASE, ANSWERS) + "select symbol, week_idx, prompt, answer from answers"
+SQL["skipped_symbols"] = with_(*BASE, ANSWERS) + """
+select distinct symbol, 'no answers' as reason from weekly
+where symbol not in (select a.symbol from answers a join members m on m.symbol = a.symbol where m.index_name = 'dow')"""
 SQL["generate_outcomes"] = with_(*BASE, ANSWERS) + """
 select symbol, week_idx, answer, 1 as attempts,
        case when (week_idx * 31 + cast(substr(symbol, 7) as int) * 13) % 8 = 7 then 'no text' end as error

@@ -30,3 +30,18 @@ def evaluation_report(weeks: DataFrame, answers: DataFrame, align: str = "positi
     warm-up weeks); ``align="key"`` pairs each answer with its own week.
     """
     return with_macro_average(evaluate(prediction_pairs(weeks, answers, align, strict, symbols)))
+
+
+def skipped_symbols(weeks: DataFrame, answers: DataFrame, symbols: DataFrame | None = None) -> DataFrame:
+    """Symbols that leave no row in the report, and why: ``(symbol, reason)``.
+
+    ``symbols`` are those that were wanted (default: all that occur on a side).
+    """
+    truth = weeks.select("symbol").distinct().withColumn("_weeks", F.lit(True))
+    pred = answers.select("symbol").distinct().withColumn("_answers", F.lit(True))
+    both = truth.join(pred, "symbol", "full")
+    if symbols is not None:
+        both = symbols.select("symbol").distinct().join(both, "symbol", "left")
+    reason = (F.when(F.col("_weeks").isNull() & F.col("_answers").isNull(), F.lit("no weeks and no answers"))
+               .when(F.col("_weeks").isNull(), F.lit("no weeks")).when(F.col("_answers").isNull(), F.lit("no answers")))
+    return both.select("symbol", reason.alias("reason")).where(F.col("reason").isNotNull())

@@ -161,6 +161,16 @@ def q_scan_prices(spark, d):
 
 @register("unpivot_prices")
 def q_unpivot_prices(spark, d):
+    # The provider's files: one column per symbol and field, two files of different years.
+    path, prices = shared_dir(spark, "wide-prices"), materialize(fx.prices(spark, d), "prices")
+    symbols = [r.symbol for r in prices.select("symbol").distinct().orderBy("symbol").collect()]     # the fixture's columns
+    for part, years in (("early", F.year("date") < 1996), ("late", F.year("date") >= 1996)):
+        R.to_wide(prices.where(years), symbols).coalesce(1).write.option("header", True).csv(f"{path}/{part}")
+    return R.read_wide_prices(spark, f"{path}/*").select("symbol", "date", "close", "adj_close", "volume")
+
+
+@register("unpivot_price_maps")
+def q_unpivot_price_maps(spark, d):
     by_date = R.prices_by_date(fx.prices(spark, d))
     return R.unpivot_price_maps(by_date).select("symbol", "date", "close", "adj_close", "volume")
 
@@ -673,6 +683,14 @@ def q_evaluation_report(spark, d):
     return EV.evaluation_report(c.weeks, c.outcomes)
 
 
+@register("skipped_symbols")
+def q_skipped_symbols(spark, d):
+    # Answers of one index only: the others' weeks have none.
+    c = Ctx(spark, d)
+    dow = c.members.where(F.col("index_name") == "dow").select("symbol")
+    return EV.skipped_symbols(c.weeks, c.outcomes.join(dow, "symbol", "left_semi"))
+
+
 @register("recent_panel")
 def q_recent_panel(spark, d):
     rp = Ctx(spark, d).recent

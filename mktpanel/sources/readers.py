@@ -7,6 +7,8 @@ and filters are expressed before any other work so they reach the scan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,6 +109,34 @@ def unpivot_prices(wide: DataFrame, date_col: str = "date") -> DataFrame:
                      | F.col("volume").isNotNull())
 
 
+def read_wide_prices(spark: SparkSession, path: str, date_col: str = "date", sep: str = ",") -> DataFrame:
+    """Wide price files with a header of ``"<symbol>|<field>"`` columns, as the provider gives them -> long prices.
+
+    Nothing is taken from the schema: lines are read as text, and a file's
+    header line is exploded into (file, position, symbol, field) rows, which
+    its cells meet by position.  The plan has the same size for 30 symbols and
+    for 30,000, files may have different columns, and a file may be split
+    between tasks.  Empty and NaN cells are no values; a symbol has no row on a day
+    without a value in any field.  Cells hold numbers and are not quoted.
+    """
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.split("value", re.escape(sep)).alias("cells"))
+    is_header = F.trim(F.col("cells")[0], F.lit('" ')) == date_col
+    names = lines.where(is_header).select("file", F.posexplode("cells").alias("pos", "name"))
+    names = names.select("file", "pos", F.trim("name", F.lit('" ')).alias("name")).distinct()
+    field = F.substring_index("name", "|", -1)
+    names = names.select("file", "pos", F.expr("left(name, length(name) - length(substring_index(name, '|', -1)) - 1)").alias("symbol"),
+                         field.alias("field")).where(F.col("name").contains("|") & field.isin(list(WIDE_FIELDS)))
+    cells = lines.where(~is_header & (F.size("cells") > 1)).select(
+        "file", F.trim(F.col("cells")[0], F.lit('" ')).cast("date").alias("date"), F.posexplode("cells").alias("pos", "value"))
+    cells = cells.where((F.col("pos") > 0) & (F.trim("value") != ""))
+    value = F.nanvl(F.col("value").try_cast("double"), F.lit(None))
+    one = {long_name: F.max(F.when(F.col("field") == wide, value)) for wide, long_name in WIDE_FIELDS.items()}
+    long = cells.join(names, ["file", "pos"]).groupBy("symbol", "date").agg(
+        *[v.cast("bigint" if k == "volume" else "double").alias(k) for k, v in one.items()])
+    some = F.coalesce("close", "adj_close", "open", "high", "low").isNotNull() | F.col("volume").isNotNull()
+    return long.where(some)
+
+
 def to_wide(prices: DataFrame, symbols: list[str]) -> DataFrame:
     """Long prices -> wide ``"<symbol>|<field>"`` frame (the provider's shape), one row per date."""
     g = prices.groupBy("date").pivot("symbol", symbols).agg(

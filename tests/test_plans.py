@@ -458,3 +458,27 @@ def test_asof_has_no_window_over_a_symbol(spark, panel):
     for node in re.split(r"\n\s*\n", plan_text(df, "formatted")):
         if re.match(r"\s*\(\d+\) Window\b", node) and re.search(r"windowspecdefinition\(symbol#\d+, (?!_q|_block)\w+#\d+ ASC", node):
             raise AssertionError(node)
+
+
+def test_wide_files_read_by_their_own_headers(spark, tmp_path):
+    """Files of different columns, NaN and empty cells, a symbol with a bar in it; the plan does not grow with symbols."""
+    (tmp_path / "a.csv").write_text('date,X|Close,X|Volume,A|B|Close,note\n2020-01-02,1.5,10,,n\n2020-01-03,,,7,n\n\n')
+    (tmp_path / "b.csv").write_text('date,A|B|Adj Close,X|Close\n2020-02-03,2.25,NaN\n')
+    got = {(r.symbol, str(r.date)): (r.close, r.adj_close, r.volume) for r in R.read_wide_prices(spark, str(tmp_path)).collect()}
+    assert got == {("X", "2020-01-02"): (1.5, None, 10), ("A|B", "2020-01-03"): (7.0, None, None),
+                   ("A|B", "2020-02-03"): (None, 2.25, None)}
+    wide = tmp_path / "wide"
+    wide.mkdir()
+    (wide / "c.csv").write_text("date," + ",".join(f"S{i}|Close" for i in range(30_000)) + "\n2020-01-02," + ",".join(map(str, range(30_000))))
+    large = R.read_wide_prices(spark, str(wide))
+    assert large.count() == 30_000 and large.where("symbol = 'S29999'").first().close == 29999.0
+    assert abs(len(plan_text(large)) - len(plan_text(R.read_wide_prices(spark, str(tmp_path / "a.csv"))))) < 100
+
+
+def test_symbols_without_pairs_are_listed(spark):
+    from mktpanel.plans import evaluate as EV
+    weeks = spark.createDataFrame([("A", 0, "U1"), ("B", 0, "D1")], "symbol string, week_idx int, bin_label string")
+    answers = spark.createDataFrame([("A", 0, "up 1%"), ("C", 1, "x")], "symbol string, week_idx int, answer string")
+    assert rows(EV.skipped_symbols(weeks, answers)) == [("B", "no answers"), ("C", "no weeks")]
+    wanted = spark.createDataFrame([("A",), ("D",)], "symbol string")
+    assert rows(EV.skipped_symbols(weeks, answers, wanted)) == [("D", "no weeks and no answers")]
