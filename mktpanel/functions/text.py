@@ -77,8 +77,6 @@ def money(x) -> Column:
         v > 0, F.lit("inf")).when(v < 0, F.lit("-inf"))), F.lit(fixed.NULL_TEXT))
 
 
-_SCIENTIFIC = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
-
 # Powers of ten that are exact doubles, and their halves of few bits (whose products have no error).
 _POWERS = [10.0 ** i for i in range(23)]
 _HIGHS = [p * 134217729.0 - (p * 134217729.0 - p) for p in _POWERS]
@@ -92,8 +90,9 @@ def _over(n: Column, by: Column) -> Column:
 
 def _times_power(x: Column, p: Column) -> Column:
     """struct<n, rest>: x * 10^p rounded to a whole number and what is left over, exactly (0 <= p <= 22)."""
-    halves = F.struct((x * 134217729.0 - (x * 134217729.0 - x)).alias("high"), F.get(F.lit(_POWERS), p).alias("power"),
-                      F.get(F.lit(_HIGHS), p).alias("power_high"), F.get(F.lit(_LOWS), p).alias("power_low"))
+    at = lambda values: F.get(F.expr("array(" + ",".join(f"{v!r}D" for v in values) + ")"), p)
+    halves = F.struct((x * 134217729.0 - (x * 134217729.0 - x)).alias("high"), at(_POWERS).alias("power"),
+                      at(_HIGHS).alias("power_high"), at(_LOWS).alias("power_low"))
 
     def multiplied(t: Column) -> Column:
         low, product = x - t["high"], x * t["power"]
@@ -124,7 +123,7 @@ def _seventeen(v: Column, exp: Column, platform: Column) -> Column:
 
 
 def _shortest(v: Column, exp: Column, platform: Column) -> Column:
-    """``d.dddE±x``: the fewest digits that read back as ``v`` > 0, and of these the nearest to it."""
+    """struct<digits, exp>: the fewest digits that read back as ``v`` > 0, and of these the nearest to it."""
     def reads_back(n: Column, digits: int) -> Column:
         return F.concat(n.cast("string"), F.lit("E"), (exp - digits + 1).cast("string")).cast("double") == v
 
@@ -141,59 +140,55 @@ def _shortest(v: Column, exp: Column, platform: Column) -> Column:
             reads_back(t["other"], 16), pick("other", 16)).otherwise(pick("n", 17))
 
     def written(t: Column) -> Column:
-        digits = F.rtrim(t["n"].cast("string"), F.lit("0"))
-        more = F.when(F.length(digits) > 1, F.substr(digits, F.lit(2))).otherwise(F.lit("0"))
-        return F.concat(F.left(digits, F.lit(1)), F.lit("."), more, F.lit("E"),
-                        (exp + F.length(t["n"].cast("string")) - t["digits"]).cast("string"))
+        n = t["n"].cast("string")
+        return F.struct(F.rtrim(n, F.lit("0")).alias("digits"), (exp + F.length(n) - t["digits"]).alias("exp"))
 
     return _let(_let(_let(_seventeen(v, exp, platform), candidates), chosen), written)
 
 
-def _scientific(x: Column) -> Column:
-    """The shortest ``d.dddE±x`` of a finite value, whatever digits the platform writes.
+def _decimal(x: Column) -> Column:
+    """struct<digits, exp>: the shortest d.ddd x 10^exp of a finite value, whatever digits the platform writes.
 
     Up to 15 digits are the platform's: no two decimals of that length read as
     one double.  A longer text may have digits too many or a last one too far.
     """
-    s = F.abs(x).cast("string")
-    mantissa, power = F.split_part(s, F.lit("E"), F.lit(1)), F.split_part(s, F.lit("E"), F.lit(2))
-    whole, frac = F.split_part(mantissa, F.lit("."), F.lit(1)), F.split_part(mantissa, F.lit("."), F.lit(2))
-    zeros = F.length(frac) - F.length(F.ltrim(frac, F.lit("0")))
-    exp = F.when(power != "", power.cast("int")).when(whole != "0", F.length(whole) - 1).otherwise(-1 - zeros)
-    digits = F.rtrim(F.ltrim(F.concat(whole, frac), F.lit("0")), F.lit("0"))
-    sign = F.when(F.startswith(x.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-
-    def text(t: Column) -> Column:
+    def split(s: Column) -> Column:
+        mantissa = F.split_part(s, F.lit("E"), F.lit(1))
+        return F.struct(F.split_part(mantissa, F.lit("."), F.lit(1)).alias("whole"),
+                        F.split_part(mantissa, F.lit("."), F.lit(2)).alias("frac"),
+                        F.split_part(s, F.lit("E"), F.lit(2)).alias("power"))
+
+    def read(t: Column) -> Column:
+        zeros = F.length(t["frac"]) - F.length(F.ltrim(t["frac"], F.lit("0")))
+        exp = F.when(t["power"] != "", t["power"].cast("int")).when(t["whole"] != "0", F.length(t["whole"]) - 1).otherwise(-1 - zeros)
+        digits = F.rtrim(F.ltrim(F.concat(t["whole"], t["frac"]), F.lit("0")), F.lit("0"))
+        return F.struct(digits.alias("digits"), exp.alias("exp"))
+
+    def shortened(t: Column) -> Column:
         n = F.length(t["digits"])
-        more = F.when(n > 1, F.substr(t["digits"], F.lit(2))).otherwise(F.lit("0"))
-        platform = F.rpad(t["digits"], 17, "0").cast("long") + F.when(n > 17, F.when(F.substr(t["digits"], F.lit(18), F.lit(1)) >= "5", 1).otherwise(0)).otherwise(0)
-        short = F.concat(F.left(t["digits"], F.lit(1)), F.lit("."), more, F.lit("E"), t["exp"].cast("string"))
-        return F.concat(t["sign"], F.when(n <= 15, short).otherwise(_shortest(F.abs(x), t["exp"], platform)))
+        carry = F.when((n > 17) & (F.substr(t["digits"], F.lit(18), F.lit(1)) >= "5"), 1).otherwise(0)
+        platform = F.rpad(t["digits"], 17, "0").cast("long") + carry
+        zero = F.struct(F.lit("0").alias("digits"), F.lit(0).alias("exp"))
+        return F.when(n == 0, zero).when(n <= 15, t).otherwise(_shortest(F.abs(x), t["exp"], platform))
 
-    parts = F.struct(F.when(digits == "", F.lit("0")).otherwise(digits).alias("digits"),
-                     F.when(digits == "", F.lit(0)).otherwise(exp).alias("exp"), sign.alias("sign"))
-    return _let(parts, text)
+    return _let(_let(_let(F.abs(x).cast("string"), split), read), shortened)
 
 
 def _python_digits(x: Column) -> Column:
     """``str(float)`` of any value."""
-    def laid_out(s: Column) -> Column:
-        sign, lead, frac = (F.regexp_extract(s, _SCIENTIFIC, i) for i in (1, 2, 3))
-        exp = F.regexp_extract(s, _SCIENTIFIC, 4).cast("int")
-        frac = F.when(frac == "0", F.lit("")).otherwise(frac)
-        digits = F.concat(lead, frac)
-        n = F.length(frac)
-        large = F.when(n <= exp, F.concat(digits, F.repeat(F.lit("0"), exp - n), F.lit(".0"))).otherwise(
+    def laid_out(t: Column) -> Column:
+        digits, exp, more = t["digits"], t["exp"], F.length(t["digits"]) - 1
+        large = F.when(more <= exp, F.concat(digits, F.repeat(F.lit("0"), exp - more), F.lit(".0"))).otherwise(
             F.concat(F.left(digits, exp + 1), F.lit("."), F.substr(digits, exp + 2)))
         small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
-        size = F.abs(exp).cast("string")
-        power = F.concat(lead, F.when(n > 0, F.concat(F.lit("."), frac)).otherwise(F.lit("")),
+        power = F.concat(F.left(digits, F.lit(1)), F.when(more > 0, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(F.lit("")),
                          F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")),
-                         F.when(F.length(size) < 2, F.lit("0")).otherwise(F.lit("")), size)
-        return F.concat(sign, F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power))
+                         F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(exp).cast("string"))
+        return F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power)
 
+    sign = F.when(F.startswith(x.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
     return (F.when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-             .otherwise(_let(_scientific(x), laid_out)))
+             .otherwise(F.concat(sign, _let(_decimal(x), laid_out))))
 
 
 def num_text(x) -> Column:
@@ -268,8 +263,10 @@ def _highlight_items(metrics, rules, stop_on_null: bool):
         else:
             ok = value.isNotNull() if threshold is None else (value > F.lit(threshold))
         head, tail = template.split("{}")
-        items.append(F.when(ok, F.concat(F.lit(head), num_text(value), F.lit(tail))))
-    return items, (stopped if stopped is not None else F.lit(False))
+        items.append(F.struct(ok.alias("ok"), F.lit(head).alias("head"), value.alias("value"), F.lit(tail).alias("tail")))
+    # One text expression for all items; those that do not count are NULL.
+    written = F.transform(F.array(*items), lambda e: F.when(e["ok"], F.concat(e["head"], num_text(e["value"]), e["tail"])))
+    return written, (stopped if stopped is not None else F.lit(False))
 
 
 def basics_highlights(period, metrics) -> Column:
@@ -279,7 +276,7 @@ def basics_highlights(period, metrics) -> Column:
     items, stop = _highlight_items(metrics, fixed.HIGHLIGHTS_UTILS, stop_on_null=True)
     # concat_ws skips NULL items; an empty result means no highlight, so the
     # list is built once.
-    joined = F.concat_ws(", ", *items, F.when(stop, F.lit(fixed.HIGHLIGHTS_UNAVAILABLE)))
+    joined = F.concat_ws(", ", items, F.when(stop, F.lit(fixed.HIGHLIGHTS_UNAVAILABLE)))
     text = F.coalesce(F.concat(F.lit(fixed.HIGHLIGHTS_HEAD), F.nullif(joined, F.lit(""))), F.lit(fixed.HIGHLIGHTS_NONE))
     return F.when(_c(period).isNull(), F.lit(fixed.HIGHLIGHTS_EMPTY)).otherwise(text)
 
@@ -288,7 +285,7 @@ def basics_highlights_list(metrics) -> Column:
     """Highlights as an array, second variant (C8): P/E whenever present, margin > 0.3."""
     items, _ = _highlight_items(F.coalesce(_c(metrics), F.create_map().cast("map<string,double>")),
                                 fixed.HIGHLIGHTS_DATA, stop_on_null=False)
-    return F.array_compact(F.array(*items))
+    return F.array_compact(items)
 
 
 def company_intro(profile: dict | None = None, variant: str = "later") -> Column:

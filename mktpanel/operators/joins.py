@@ -85,15 +85,14 @@ def attach_basics(weeks: DataFrame, basics: DataFrame, always: bool = False) ->
     b = basics.where(F.col("period").isNotNull()).select(
         "symbol", F.col("period").alias("_t"), F.lit(1).alias("_kind"),
         F.struct(F.col("period").alias("period"), F.col("metrics").alias("metrics")).alias("_b"))
-    if not always:
-        weeks_in = lag_in_blocks(materialize(weeks, "weeks"), "start_date", 2, "_lower")
-    else:
-        weeks_in = weeks.withColumn("_lower", F.lit(None).cast("date"))
-    w = weeks_in.select(*weeks.columns, "_lower", F.col("end_date").alias("_t"), F.lit(0).alias("_kind"),
-                        F.lit(None).cast(b.schema["_b"].dataType).alias("_b"))
-    quarter = (F.year("_t") * 4 + F.quarter("_t")).alias("_q")
+    w = weeks.select(*weeks.columns, F.col("end_date").alias("_t"), F.lit(0).alias("_kind"),
+                     F.lit(None).cast(b.schema["_b"].dataType).alias("_b"))
     u = w.unionByName(b, allowMissingColumns=True)
-    u = materialize(u.select(*u.columns, quarter), "weeks-and-periods")
+    # Written once: both levels, and the look two rows back, read it.
+    u = materialize(u.select(*u.columns, (F.year("_t") * 4 + F.quarter("_t")).alias("_q")), "weeks-and-periods")
+    if not always:
+        u = lag_in_blocks(u.where(F.col("_kind") == 0), "start_date", 2, "_lower").unionByName(
+            u.where(F.col("_kind") == 1), allowMissingColumns=True)
     inside = Window.partitionBy("symbol", "_q").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     asof = u.withColumn("_near", F.last("_b", ignorenulls=True).over(inside)).where(F.col("_kind") == 0)
     ends = u.groupBy("symbol", "_q").agg(F.max_by("_b", F.when(F.col("_kind") == 1, F.col("_t"))).alias("_end"))
