@@ -52,11 +52,10 @@ with v as (
   where embedding is not null and vec_id is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
 s as (
-  select q.vec_id as query_id, v.vec_id as vec_id, list_dot_product(q.e, v.e)::bigint as score
-  from v q join v on v.vec_id <> q.vec_id
-  where q.vec_id % 20 = 0),
+  select q.vec_id as query_id, q.e as e, v.vec_id as vec_id, list_dot_product(q.e, v.e)::bigint as score
+  from (select distinct vec_id, e from v where vec_id % 20 = 0) q join v on v.vec_id <> q.vec_id),
 r as (
-  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+  select query_id, row_number() over (partition by query_id, e order by score desc, vec_id)::int as rank, vec_id, score
   from s)
 select query_id, rank, vec_id, score from r where rank <= 20
 """)
