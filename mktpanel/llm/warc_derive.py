@@ -28,6 +28,7 @@ import html
 import json
 import re
 import uuid
+from bisect import bisect_left
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -43,17 +44,19 @@ VERSION = "WARC/1.0"
 BLOCKS = ("address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure "
           "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre section summary table "
           "tbody td tfoot th thead title tr ul").split()
-_INVISIBLE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>", re.S | re.I)
-_REST = r"(?:[^'\">]|\"[^\"]*\"|'[^']*')*"
-_BLOCK = re.compile(rf"</?(?:{'|'.join(BLOCKS)})\b{_REST}>", re.I)
-_TAG = re.compile(rf"</?[a-z]{_REST}>", re.I)
+_BLOCK_NAMES = frozenset(BLOCKS)
+_INVISIBLE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+_STOPS = re.compile(r"[>'\"]")
+_ANY = re.compile(r"</?([a-z]\w*)", re.I)
+_LINKS = re.compile(r"<(a|area|link|img|iframe|script|form)\b", re.I)
+_META = re.compile(r"<(meta)\b", re.I)
+_TITLE = re.compile(r"<(title)\b", re.I)
+_TITLE_END = re.compile(r"</title", re.I)
 _GAPS = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_LINKS = re.compile(rf"<(a|area|link|img|iframe|script|form)\b({_REST})>", re.I)
-_FIELD = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_FIELD = re.compile(r"(?<![a-z-])([a-z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _ENDS = re.compile(r"\r?\n")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
-_META = re.compile(rf"<meta\b({_REST})>", re.I)
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 _TARGETS = {"a": "href", "area": "href", "link": "href", "img": "src", "iframe": "src", "script": "src", "form": "action"}
 
 
@@ -65,10 +68,52 @@ def record_id(*parts: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, chr(0).join(map(str, parts)))}>"
 
 
+class _Ends:
+    """Where tags of a page end, in time linear in the page however its markup is broken.
+
+    A tag ends at the first ``>`` outside quotes.  From the back, each ``>``
+    and quote learns which ``>`` a tag that meets it next would end at.
+    """
+
+    def __init__(self, page: str):
+        self.at = [m.start() for m in _STOPS.finditer(page)]
+        self.end = [-1] * (len(self.at) + 1)
+        partner = {"'": -1, '"': -1}
+        for i in range(len(self.at) - 1, -1, -1):
+            stop = page[self.at[i]]
+            if stop == ">":
+                self.end[i] = self.at[i]
+            else:
+                closing, partner[stop] = partner[stop], i
+                self.end[i] = self.end[closing + 1] if closing >= 0 else -1
+
+    def after(self, start: int) -> int:
+        """The position of the ``>`` that ends a tag open at ``start``; -1 if it is never closed."""
+        return self.end[bisect_left(self.at, start)]
+
+
+def _tags(page: str, names: re.Pattern, ends: _Ends) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, lower-case name, what follows the name) of closed tags, left to right."""
+    free = 0
+    for m in names.finditer(page):
+        if m.start() >= free:
+            end = ends.after(m.end())
+            if end >= 0:
+                free = end + 1
+                yield m.start(), free, m[1].lower(), page[m.end():end]
+
+
 def visible_text(page: str) -> str:
-    """The text of a page, one line per block."""
-    text = _TAG.sub("", _BLOCK.sub("\n", _INVISIBLE.sub(" ", page)))
-    return _LINES.sub("\n", _GAPS.sub(" ", html.unescape(text))).strip()
+    """The text of a page, one line per block; a tag that is never closed is text."""
+    page = _INVISIBLE.sub(" ", page)
+    parts, at = [], 0
+    for start, end, name, _ in _tags(page, _ANY, _Ends(page)):
+        parts.append(page[at:start])
+        if name in _BLOCK_NAMES:
+            parts.append("\n")
+        at = end
+    parts.append(page[at:])
+    return _LINES.sub("\n", _GAPS.sub(" ", html.unescape("".join(parts)))).strip()
 
 
 def _fields(tag: str) -> dict[str, str]:
@@ -77,19 +122,23 @@ def _fields(tag: str) -> dict[str, str]:
 
 def page_metadata(page: str, base: str) -> dict:
     """Title, metas and links of a page."""
-    title = _TITLE.search(page)
+    ends = _Ends(page)
+    title = None
+    for _, end, _, _ in _tags(page, _TITLE, ends):
+        close = _TITLE_END.search(page, end)
+        title = page[end:close.start()] if close else None
+        break
     links = []
-    for m in _LINKS.finditer(page):
-        kind = m[1].lower()
-        url = _fields(m[2]).get(_TARGETS[kind])
+    for _, _, kind, rest in _tags(page, _LINKS, ends):
+        url = _fields(rest).get(_TARGETS[kind])
         if url:
             try:
                 url = urljoin(base, url.strip())
             except ValueError:
                 pass
             links.append({"path": f"{kind.upper()}@/{_TARGETS[kind]}", "url": url})
-    return {"Title": html.unescape(title[1]).strip() if title else None,
-            "Metas": [_fields(m[1]) for m in _META.finditer(page)], "Links": links}
+    return {"Title": html.unescape(title).strip() if title is not None else None,
+            "Metas": [_fields(rest) for _, _, _, rest in _tags(page, _META, ends)], "Links": links}
 
 
 def header_fields(head: str | None) -> list[tuple[str, str]]:
@@ -123,11 +172,16 @@ def as_json(fields: list[tuple[str, str]]) -> dict[str, str | list[str]]:
     return {name: x[0] if len(x) == 1 else x for name, x in values.items()}
 
 
+def header_value(value: object) -> str:
+    """A value as one header line: control characters, line breaks above all, are percent-encoded."""
+    return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", str(value))
+
+
 def _record(kind: str, own: str, other: str, source: dict, content: str, block: bytes) -> bytes:
     head = {"WARC-Type": kind, "WARC-Target-URI": source["target_uri"], "WARC-Date": source["date"],
             "WARC-Record-ID": own, "WARC-Refers-To": source["record_id"], "WARC-Concurrent-To": other,
             "WARC-Block-Digest": digest(block), "Content-Type": content, "Content-Length": len(block)}
-    return "".join([VERSION, "\r\n", *(f"{k}: {v}\r\n" for k, v in head.items()), "\r\n"]).encode() + block + b"\r\n\r\n"
+    return "".join([VERSION, "\r\n", *(f"{k}: {header_value(v)}\r\n" for k, v in head.items()), "\r\n"]).encode() + block + b"\r\n\r\n"
 
 
 def derived(source: dict) -> list[tuple[str, str, str, bytes, bytes]]:

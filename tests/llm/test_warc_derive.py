@@ -100,3 +100,33 @@ def test_all_headers_of_the_source_are_kept(spark):
         if given:
             assert headers["WARC-IP-Address"] == "192.0.2.1" and headers["WARC-Concurrent-To"] == ["<urn:a>", "<urn:b>"]
             assert headers["WARC-Refers-To"] == "<urn:c>" and headers["Content-Type"] == "application/http; msgtype=response"
+
+
+def test_broken_markup_takes_linear_time():
+    """A megabyte each; the quadratic forms of this took minutes to hours."""
+    import time
+    for part in ("<a ", '<a href="x ', "<!", "<title", "<title>", "<a b='", "</script ", "<p a" + "b" * 500 + " ", "<x y=\"'>", "&amp"):
+        page = part * (1_000_000 // len(part))
+        for closed in (page, "<p>" + page + ">"):
+            start = time.perf_counter()
+            W.visible_text(closed)
+            W.page_metadata(closed, "http://x.org/")
+            assert time.perf_counter() - start < 5, part
+
+
+def test_tags_end_outside_quotes():
+    page = "<p title='a>b' id=\"c'>\">one<br/>two <b x=y>three</b> 1 < 2 <i never closed"
+    assert W.visible_text(page) == "one\ntwo three 1 < 2 <i never closed"
+    meta = W.page_metadata("<title>A &amp; B</title><a href='x>y'>l</a><meta name=n content=\"c'\"><a href=/z><A HREF=", "http://h/")
+    assert meta["Title"] == "A & B" and [x["url"] for x in meta["Links"]] == ["http://h/x>y", "http://h/z"]
+    assert meta["Metas"] == [{"name": "n", "content": "c'"}]
+
+
+def test_a_line_break_in_a_url_forges_no_header(spark):
+    url = "http://x.org/a\r\nWARC-Type: response\r\n\r\nforged"
+    pages = spark.createDataFrame([(1, url, "<p>t</p>")], "page_id long, url string, html string")
+    records = {r.record_type: r for r in W.derive(W.responses(pages)).collect()}
+    for kind, r in records.items():
+        fields, block = parse(bytes(r.record))
+        assert fields["WARC-Type"] == kind and len(block) == int(fields["Content-Length"]) == r.content_length
+        assert fields["WARC-Target-URI"] == "http://x.org/a%0D%0AWARC-Type: response%0D%0A%0D%0Aforged" and r.target_uri == url
