@@ -13,7 +13,8 @@ The model has languages x ``BUCKETS`` numbers, and ``train`` refuses more than
 Cases: a text that is null or has no letter is ``und`` with score 0; without
 training rows every text is; ties go to the first language by code point; a
 null language is not learnt; a null id is never held out and not learnt;
-repeated rows get equal results; very long texts are counted whole in pieces;
+repeated rows get equal results; a text of any length is one mixture over its
+whole trigram counts;
 an empty table gives no rows; other columns are not read.
 """
 
@@ -47,19 +48,30 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def trigrams(text: str) -> np.ndarray:
-    """Bucket of every character trigram of the lower-cased words, each between blanks."""
-    codes = np.frombuffer(f" {_NOT_LETTERS.sub(' ', text.lower())} ".encode("utf-32-le", "replace"), np.uint32)
-    if len(codes) < 3:
-        return np.empty(0, np.int64)
+def _letters(text: str) -> str:
+    """The lower-cased words, each between blanks."""
+    return f" {_NOT_LETTERS.sub(' ', text.lower())} "
+
+
+def _buckets(letters: str) -> np.ndarray:
+    codes = np.frombuffer(letters.encode("utf-32-le", "replace"), np.uint32)
     mixed = (codes[:-2] * np.uint32(0x9E3779B1)) ^ (codes[1:-1] * np.uint32(0x85EBCA77)) ^ (codes[2:] * np.uint32(0xC2B2AE3D))
     mixed ^= mixed >> np.uint32(15)
     return ((mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(17)).astype(np.int64) & (BUCKETS - 1)
 
 
-def _pieces(text: str) -> Iterator[str]:
-    for i in range(0, len(text), PIECE):
-        yield text[i:i + PIECE]
+def trigram_counts(text: str, piece: int = PIECE) -> np.ndarray:
+    """How often each bucket of character trigrams occurs in the whole text.
+
+    A long text is hashed ``piece`` trigrams at a time to bound the memory of
+    their codes; pieces overlap by two characters, so the counts are those of
+    the text in one go.
+    """
+    letters = _letters(text)
+    counts = np.zeros(BUCKETS, np.int64)
+    for at in range(0, len(letters) - 2, piece):
+        counts += np.bincount(_buckets(letters[at:at + piece + 2]), minlength=BUCKETS)
+    return counts
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
@@ -70,10 +82,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    for piece in _pieces(text):
-                        if lang not in sums:
-                            sums[lang] = np.zeros(BUCKETS, np.int64)
-                        sums[lang] += np.bincount(trigrams(piece), minlength=BUCKETS)
+                    if lang not in sums:
+                        sums[lang] = np.zeros(BUCKETS, np.int64)
+                    sums[lang] += trigram_counts(text)
             if len(sums) > MAX_LANGUAGES:
                 raise ValueError(f"more than {MAX_LANGUAGES} languages")
         for lang, n in sums.items():
@@ -99,27 +110,28 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return langs, (table / table.sum(axis=0, keepdims=True)).astype(np.float32)
 
 
-def _fit(p: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
-    """Shares after some steps of expectation-maximisation, and their log-likelihood."""
+def _fit(p: np.ndarray, n: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
+    """Shares after some steps of expectation-maximisation, and their log-likelihood; ``n``: how often each row of ``p`` occurs."""
     for _ in range(rounds):
-        weight = 1.0 / (p @ share)
-        share = share * (weight @ p) / len(p)
+        weight = n / (p @ share)
+        share = share * (weight @ p)
         share = share / share.sum()
-    return share, float(np.log(p @ share).sum())
+    return share, float(n @ np.log(p @ share))
 
 
-def mixture(grams: np.ndarray, probs: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
-    """Share of every language in a text, 0 for those outside the chosen set."""
-    p = probs[grams]
-    price = penalty * np.log(max(len(grams), 2))
-    share, best = _fit(p, np.full(p.shape[1], 1.0 / p.shape[1], np.float32), ROUNDS)
+def mixture(counts: np.ndarray, probs: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
+    """Share of every language in a text with these trigram counts, 0 for those outside the chosen set."""
+    grams = np.flatnonzero(counts)
+    n, p = counts[grams].astype(float), probs[grams].astype(float)
+    price = penalty * np.log(max(n.sum(), 2))
+    share, best = _fit(p, n, np.full(p.shape[1], 1.0 / p.shape[1]), ROUNDS)
     keep = np.arange(p.shape[1])
     while len(keep) > 1:
         weakest = int(np.argmin(share))
         rest = np.delete(np.arange(len(keep)), weakest)
-        start = np.maximum(share[rest], np.float32(1e-6))
+        start = np.maximum(share[rest], 1e-6)
         q = p[:, rest]
-        less, value = _fit(q, start / start.sum(), ROUNDS // 3 if len(rest) > 1 else 0)
+        less, value = _fit(q, n, start / start.sum(), ROUNDS // 3 if len(rest) > 1 else 0)
         if best - value > price:
             break
         p, keep, share, best = q, keep[rest], less, value
@@ -136,15 +148,7 @@ def predict(docs: DataFrame, langs: list[str], probs: np.ndarray, id_col: str =
     def one(text: str | None) -> tuple[str, float, int]:
         if not langs or text is None or not _LETTER.search(text):
             return UNKNOWN, 0.0, 0
-        shares, n = np.zeros(len(langs)), 0
-        for piece in _pieces(text):
-            grams = trigrams(piece)
-            if len(grams):
-                shares += len(grams) * mixture(grams, model.value)
-                n += len(grams)
-        if not n:
-            return UNKNOWN, 0.0, 0
-        shares /= n
+        shares = mixture(trigram_counts(text), model.value)
         top = int(np.argmax(shares))
         return langs[top], float(min(1.0, shares[top])), int((shares > 0).sum())
 
