@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mktpanel.session import materialize, shared_dir
 
-__all__ = ["BLANKS", "SPACE_RUN", "batches_by_key", "byte_texts", "materialize", "shared_dir", "table", "word_count",
+__all__ = ["BLANKS", "SPACE_RUN", "batches_by_key", "byte_texts", "discard", "materialize", "shared_dir", "table", "word_count",
            "words"]
 
 # A word is a run of characters other than space, tab, line feed, vertical tab,
@@ -23,6 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables (of ``materialize``) once the tables made of them are written.
+
+    Nothing that is read later may derive from them; a table's files are all
+    in one folder of its own.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/mktpanel/" not in folder or not folder.endswith("/table"):
+                raise ValueError(f"not a written table of this library: {folder}")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text``; an empty array for null and blank texts."""
     trimmed = F.btrim(text, F.lit(BLANKS))
