@@ -80,16 +80,29 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{path}/table"
 
 
+# Shuffle files of a finished query go at once, not when the driver's garbage collector meets them.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str = "stage", partition_by: str | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Used at stage boundaries whose result is small and read by several
     branches (the weekly panel), so upstream scans run once and the lineage
     is cut.  Files in the shared folder survive executor loss, and the
-    read-back table carries real size statistics for the optimizer.
+    read-back table carries real size statistics for the optimizer.  The
+    shuffle files of the write are removed as it ends: nothing reads them again.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     w = df.write.mode("overwrite")
-    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(_SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
