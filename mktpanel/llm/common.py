@@ -8,7 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mktpanel.session import materialize, shared_dir
+from mktpanel import session
+from mktpanel.session import shared_dir
 
 __all__ = ["BLANKS", "SPACE_RUN", "batches_by_key", "byte_texts", "discard", "materialize", "shared_dir", "table", "word_count",
            "words"]
@@ -19,6 +20,24 @@ BLANKS = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+# Shuffle files of a finished write go at once, not when the driver's garbage collector meets them.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str = "stage", partition_by: str | None = None) -> DataFrame:
+    """A written table as of ``session.materialize``; the shuffle files of the write are removed as it ends."""
+    conf = df.sparkSession.conf
+    before = conf.get(_SHUFFLE_CLEANUP, None)
+    conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        return session.materialize(df, name, partition_by)
+    finally:
+        if before is None:
+            conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            conf.set(_SHUFFLE_CLEANUP, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
