@@ -65,16 +65,42 @@ def _two_decimals(x: Column) -> Column:
         (whole + F.floor(cents / 100)).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")))
 
 
+def _cents(a: Column) -> Column:
+    """100 * ``a`` as a long, half to even, for 0 <= a < 1e13; one compiled expression without ``_let``.
+
+    Where the rounded product is no half, the exact one lies on the same side
+    of it.  Where it is, 200 times the part after the point is compared with
+    that half exactly, in two pieces of few bits.
+    """
+    part = a - F.floor(a)
+    down = F.floor(part * 100.0)
+    high = F.floor(part * 67108864.0) / 67108864.0
+    over = (high * 200.0 - (down * 2 + 1)) + (part - high) * 200.0
+    rest = part * 100.0 - down
+    up = (rest > 0.5) | ((rest == 0.5) & ((over > 0) | ((over == 0) & (down % 2 == 1))))
+    return F.floor(a) * 100 + down + F.when(up, 1).otherwise(0)
+
+
+def _minus(x: Column) -> Column:
+    """The sign in front, that of -0.0 included."""
+    negative = (x < 0) | ((x == 0) & F.startswith(x.cast("string"), F.lit("-")))
+    return F.when(negative, F.lit("-")).otherwise(F.lit(""))
+
+
 def money(x) -> Column:
     """``{:.2f}``: the exact binary value rounded half to even; NULL prints as ``None``.
 
-    The part after the point is split off exactly and 100 times it is taken as
-    a rounded product plus its error (its two halves have few enough bits);
-    the rest of that is compared with a half.
+    From 1e13 on the part after the point is split off exactly and 100 times
+    it is taken as a rounded product plus its error (its two halves have few
+    enough bits); the rest of that is compared with a half.
     """
-    return F.coalesce(_let(_c(x).cast("double"), lambda v: F.when(F.isnan(v), F.lit("nan")).when(
-        F.abs(v) < _LONG_END, _two_decimals(v)).when(F.abs(v) < float("inf"), F.format_string("%.2f", v)).when(
-        v > 0, F.lit("inf")).when(v < 0, F.lit("-inf"))), F.lit(fixed.NULL_TEXT))
+    x = _c(x).cast("double")
+    cents = _cents(F.abs(x))
+    common = F.concat(_minus(x), _over(cents, F.lit(100)).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    return F.coalesce(F.when(F.abs(x) < 1e13, common).otherwise(
+        _let(x, lambda v: F.when(F.isnan(v), F.lit("nan")).when(
+            F.abs(v) < _LONG_END, _two_decimals(v)).when(F.abs(v) < float("inf"), F.format_string("%.2f", v)).when(
+            v > 0, F.lit("inf")).when(v < 0, F.lit("-inf")))), F.lit(fixed.NULL_TEXT))
 
 
 # Powers of ten that are exact doubles, and their halves of few bits (whose products have no error).
@@ -200,9 +226,13 @@ def num_text(x) -> Column:
     2.3e-308, which have few bits, have the platform's digits as they are).
     """
     x = _c(x).cast("double")
+    a = F.abs(x)
     # A short plain text has at most 15 digits, which need no second look.
-    common = (x.between(0.001, 9999999.0) | (x == 0)) & (F.length(x.cast("string")) <= 16)
-    return F.coalesce(F.when(common, x.cast("string")).otherwise(_let(x, _python_digits)), F.lit(fixed.NULL_TEXT))
+    common = (((a >= 0.001) & (a < 1e7)) | (x == 0)) & (F.length(x.cast("string")) <= 16)
+    # Whole numbers below 2^53 are their own shortest text.
+    whole = (a < 9007199254740992.0) & (F.rint(x) == x)
+    return F.coalesce(F.when(common, x.cast("string")).when(whole, F.concat(x.cast("long").cast("string"), F.lit(".0"))).otherwise(
+        _let(x, _python_digits)), F.lit(fixed.NULL_TEXT))
 
 
 def iso_date(d) -> Column:

@@ -189,3 +189,20 @@ def test_number_text_is_the_shortest_on_any_java(spark):
         if 1e-6 <= abs(r.x) < 9.2e18 or r.x == 0:
             assert r.s == repr(r.x), (repr(r.x), r.s)
         assert float(r.s) == r.x and (len(r.s) == len(repr(r.x)) or abs(r.x) < 2.3e-308)
+
+
+def test_number_text_of_common_values_is_compiled(spark):
+    """Ordinary amounts meet no lambda (which Spark interprets value by value) before they are written."""
+    import random
+    for column, written in ((T.money("x"), "lpad("), (T.num_text("x"), "rint(")):
+        plan = spark.range(1).select(F.col("id").cast("double").alias("x")).select(column.alias("t"))._jdf.queryExecution().analyzed().toString()
+        assert written in plan.split("lambda")[0]
+    rnd = random.Random(8)
+    cents = [rnd.randrange(10 ** rnd.randrange(1, 9)) for _ in range(2000)] + list(range(0, 4000, 4))
+    xs = [y for k in cents for y in (k / 800, k / 100 / 8, k / 100 / 1000, k / 100 * 1e6, -k / 800, k / 1000, k / 200)]
+    for edge in (0.001, 0.005, 0.5, 1.0, 1e7, 1e13, 2.0 ** 53, 1e16, 1e18):
+        steps = [math.nextafter(edge, 0), edge, math.nextafter(edge, math.inf), edge - 0.5, edge + 0.125, edge + 0.375, edge + 0.995]
+        xs += [sign * y for y in steps for sign in (1, -1)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for r in df.select("x", T.money("x").alias("m"), T.num_text("x").alias("n")).collect():
+        assert (r.m, r.n) == (f"{r.x:.2f}", str(r.x))
