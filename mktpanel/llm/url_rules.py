@@ -17,8 +17,13 @@ distinct before they are taken apart, so a hot URL is matched once.
 
 Model limits (parameters of ``mine``): a rule has at least ``min_count`` bad
 pages, ``min_support`` of all labelled pages and ``min_confidence`` bad pages
-among those that it fits; a page holds at most ``max_items`` items, the rarest
-ones, while rules are mined (a transaction of n items has 2 ** n combinations).
+among those that it fits.  A transaction of n items has 2 ** n combinations, so
+FP-growth takes a page's ``max_items`` rarest items; an item that some page has
+beyond these is left out of all its transactions (what it counts is exact then).
+Combinations with such items are grown level by level by joins over pages: only
+those go on that are frequent, no rule, and have fewer good pages than each
+combination inside them (one that excludes no page more can't be a smallest
+rule).  Both together are all the rules, whatever ``max_items`` is.
 
 Cases: a null URL or one without ``://`` has an empty host and path, fits no
 given rule, and has no tokens if null; labels that say nothing, of no page or
@@ -35,7 +40,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mktpanel.llm.common import materialize
+from mktpanel.llm.common import discard, materialize
 
 # (verdict, host, path): a host stands for itself and its subdomains.
 GIVEN = (
@@ -124,11 +129,16 @@ def mine(pages: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MI
         return none
     index = materialize(kinds.select("item", "n", F.explode("tokens").alias("token")), "tokens")
     held = occurs.join(index, "token").groupBy("id", "bad").agg(F.sort_array(F.collect_set(F.struct("n", "item"))).alias("held"))
-    rarest = F.transform(F.slice("held", 1, max_items), lambda x: x["item"])
-    held = held.select(F.when(F.col("bad"), F.concat(rarest, F.array(F.lit(BAD).cast("long")))).otherwise(rarest).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence).fit(_filled(held, n))
-    found = model.associationRules.filter(F.col("consequent")[0] == BAD).select(
-        F.sort_array("antecedent").alias("items"), "support", "confidence")
+    held = materialize(held.select("id", "bad", F.transform("held", lambda x: x["item"]).alias("items")), "held")
+    wide = held.filter(F.size("items") > max_items)
+    over = materialize(wide.select(F.explode(F.slice("items", max_items + 1, F.size("items"))).alias("item")).distinct(), "over")
+    if over.isEmpty():
+        found = _fp_growth(held, least, min_confidence, n)
+    else:
+        core = held.select("id", "bad", F.explode("items").alias("item")).join(over, "item", "left_anti")
+        core = core.groupBy("id", "bad").agg(F.collect_list("item").alias("items"))
+        found = _fp_growth(core, least, min_confidence, n).unionByName(_by_levels(
+            held, over, least, min_confidence, n, pages.filter("not bad").count()))
     found = materialize(found.withColumn("rule", F.monotonically_increasing_id()), "rules")
     smaller = found.select(F.col("items").alias("inner_items"), F.explode("items").alias("item"), F.col("rule").alias("inner_rule"))
     larger = found.select(F.col("items").alias("outer_items"), F.explode("items").alias("item"), F.col("rule").alias("rule"))
@@ -142,6 +152,15 @@ def mine(pages: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MI
     return rules, index.select("token", "item")
 
 
+def _fp_growth(held: DataFrame, least: int, min_confidence: float, n: int) -> DataFrame:
+    """(items, support, confidence) of the rules that FP-growth finds in (bad, items) of pages."""
+    bad = F.array(F.lit(BAD).cast("long"))
+    held = held.select(F.when(F.col("bad"), F.concat("items", bad)).otherwise(F.col("items")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence).fit(_filled(held, n))
+    return model.associationRules.filter(F.col("consequent")[0] == BAD).select(
+        F.sort_array("antecedent").alias("items"), "support", "confidence")
+
+
 def _filled(held: DataFrame, n: int) -> DataFrame:
     """Pages without a frequent item count as well: FP-growth's support is a share of all transactions."""
     missing = n - held.count()
@@ -149,6 +168,49 @@ def _filled(held: DataFrame, n: int) -> DataFrame:
         held.sparkSession.range(missing).select(F.array().cast("array<long>").alias("items")))
 
 
+def _by_levels(held: DataFrame, over: DataFrame, least: int, min_confidence: float, n: int, n_good: int) -> DataFrame:
+    """(items, support, confidence) of rules with an item of ``over``: all the smallest, and some that hold a smaller rule without one.
+
+    A combination is an ascending array; items of ``over`` are negative in it
+    (-1 - item), so it has one if its first is.  Each is reached once, from
+    itself without its last item, and only pages that hold it are joined.
+    """
+    bad, good = F.sum("n_bad").alias("n_bad"), F.sum("n_good").alias("n_good")
+    is_rule = F.col("n_bad") / (F.col("n_bad") + F.col("n_good")) >= min_confidence
+    pages = held.groupBy("items").agg(F.count_if("bad").alias("n_bad"), F.count_if(~F.col("bad")).alias("n_good"))
+    pages = materialize(pages.withColumn("page", F.monotonically_increasing_id()), "pages")
+    at = F.when(F.col("over"), -1 - F.col("item")).otherwise(F.col("item")).alias("at")
+    parts = pages.select("page", "n_bad", "n_good", F.explode("items").alias("item")).join(
+        over.withColumn("over", F.lit(True)), "item", "left").select("page", "n_bad", "n_good", at)
+    alone = materialize(parts.groupBy("at").agg(bad, good), "alone")
+    # A rule of one item is in no other smallest rule.
+    parts = materialize(parts.join(alone.filter(~is_rule).select("at"), "at"), "parts")
+    first = alone.filter("at < 0").select(F.col("at").alias("set"), F.array("at").alias("items"), "n_bad", "n_good")
+    rules = first.filter(is_rule)
+    sets = first.filter(~is_rule & (F.col("n_good") < n_good))
+    cover = materialize(parts.join(sets.select("set"), F.col("at") == F.col("set")).select("set", "page", F.col("at").alias("last")), "cover")
+    while not cover.isEmpty():
+        longer = cover.join(parts, "page").filter(F.col("at") > F.col("last")).groupBy("set", "at").agg(bad, good)
+        longer = longer.filter(F.col("n_bad") >= least).join(sets.select("set", "items"), "set")
+        longer = materialize(longer.select(F.col("set").alias("start"), "at", F.concat("items", F.array("at")).alias("items"), "n_bad", "n_good")
+                             .withColumn("set", F.monotonically_increasing_id()), "sets")
+        places = longer.select("set", F.col("n_good").alias("now"), "items", F.explode(F.sequence(F.lit(1), F.size("items"))).alias("i"))
+        inside = places.select("set", "now", F.concat(F.slice("items", F.lit(1), F.col("i") - 1),
+                                                      F.slice("items", F.col("i") + 1, F.size("items"))).alias("items"))
+        # Combinations without an item of ``over`` are FP-growth's, and not known here.
+        met = inside.filter(F.col("items")[0] < 0).join(sets.select("items", "n_good"), "items", "left")
+        kept = met.groupBy("set").agg(F.bool_and(F.coalesce(F.col("n_good") > F.col("now"), F.lit(False))).alias("kept"))
+        longer = materialize(longer.join(kept.filter("kept").select("set"), "set"), "sets")
+        rules = rules.unionByName(longer.filter(is_rule).select("set", "items", "n_bad", "n_good"))
+        sets, before = longer.filter(~is_rule), cover
+        ways = cover.join(sets.select(F.col("set").alias("next"), F.col("start").alias("set"), "at"), "set")
+        cover = materialize(ways.join(parts, ["page", "at"]).select(F.col("next").alias("set"), "page", F.col("at").alias("last")), "cover")
+        discard(before)
+    items = F.sort_array(F.transform("items", lambda x: F.when(x < 0, -1 - x).otherwise(x)))
+    return rules.select(items.alias("items"), (F.col("n_bad") / n).alias("support"),
+                        (F.col("n_bad") / (F.col("n_bad") + F.col("n_good"))).alias("confidence"))
+
+
 def fitting(urls: DataFrame, rules: DataFrame, index: DataFrame) -> DataFrame:
     """The distinct ``url`` that a rule fits."""
     parts = urls.select("url").filter("url is not null").distinct().select("url", F.explode(tokens(F.col("url"))).alias("token"))

@@ -1,3 +1,4 @@
+import random
 import re
 from itertools import combinations
 from urllib.parse import urlsplit
@@ -112,3 +113,37 @@ def test_parts_agree_with_the_library(spark, url):
     got = spark.range(1).select(U.host_of(F.lit(url)), U.path_of(F.lit(url)), U.tokens(F.lit(url))).first()
     split = urlsplit(url)
     assert got[0] == split.netloc and got[1] == split.path and set(got[2]) == plain_tokens(url)
+
+
+def test_no_rule_is_lost_on_pages_with_more_items_than_fp_growth_takes(spark):
+    """The bad combination is of the commonest items, which a cut at the rarest ones would drop."""
+    rnd = random.Random(3)
+    pages, labels = [], []
+    for i in range(400):
+        folders = [f for f, share in (("a", .8), ("b", .7), ("c", .6), ("d", .5), ("e", .4)) if rnd.random() < share]
+        host, key = rnd.choice(["x.org", "y.fr", "z.de"]), rnd.choice(["", "?k=1", "?l=2&k=1"])
+        pages.append((i, f"https://{host}/{'/'.join(folders + [''])}{rnd.choice(['p', 'q.html'])}{key}"))
+        planted = {"a", "b", "d"} <= set(folders) or (host == "x.org" and "e" in folders and "k=1" in key)
+        if i % 8:
+            labels.append((i, 0 if planted and rnd.random() < .95 or rnd.random() < .1 else 1, 0))
+    want, rules = brute(pages, labels, 10, U.MIN_CONFIDENCE)
+    smallest = {frozenset(r) for r in rules if not any(x < r for x in rules)}
+    assert len({len(r) for r in smallest}) > 2
+    learn = U.labelled(spark.createDataFrame(pages, "page_id long, url string"),
+                       spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    counts = learned(pages, labels)
+    assert run(spark, pages, labels, max_items=3) == want
+    found, index = U.mine(learn, max_items=3)
+    token = {r["item"]: r["token"] for r in index.collect()}
+    found = {frozenset(token[i] for i in r["items"]): r for r in found.collect()}
+    # Of tokens that can't be told apart a rule names any one.
+    covers = lambda s: frozenset(i for i, (has, _) in enumerate(counts) if s <= has)
+    assert {covers(s) for s in found} == {covers(s) for s in smallest}
+    for s, r in found.items():
+        has = [b for t, b in counts if s <= t]
+        assert (r["support"] * len(counts), r["confidence"]) == pytest.approx((sum(has), sum(has) / len(has)))
+
+
+def learned(pages, labels):
+    bad = {d: q == 0 or t == 1 for d, q, t in labels}
+    return [(plain_tokens(u), bad[i]) for i, u in pages if i in bad]
