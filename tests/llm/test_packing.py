@@ -81,3 +81,27 @@ def test_cached_words_give_the_tokenizers_ids(spark, small, name, spaced):
     for _ in range(2):
         for text, ids in zip(texts, enc.encode(texts), strict=True):
             assert ids == encode(text, 0)[:-1].tobytes(), text[:80]
+
+
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_word_of_many_places_is_looked_up_once(name, spaced):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    enc = Encoder(public_file(name), spaced=spaced)
+    enc.cache = Counted()
+    texts = ["one two, three\nfour five. " + "six seven " * 200 + str(i) for i in range(100)]
+    encode = plain(name)
+    assert list(enc.encode(texts)) == [encode(t, 0)[:-1].tobytes() for t in texts]
+    assert enc.cache.asked < 1000           # some 110 words; 41,000 places
+    # Chunks without a simple text, and without any.
+    odd = ["", "  ", "a  b", "x\x1cy", "\0", " a"]
+    assert list(enc.encode(odd)) == [encode(t, 0)[:-1].tobytes() for t in odd] and list(enc.encode([])) == []
