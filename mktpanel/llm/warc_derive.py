@@ -47,12 +47,15 @@ BLOCKS = ("address article aside blockquote body br caption center dd details di
 _BLOCK_NAMES = frozenset(BLOCKS)
 _INVISIBLE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
 _STOPS = re.compile(r"[>'\"]")
-_ANY = re.compile(r"</?([a-z]\w*)", re.I)
-_LINKS = re.compile(r"<(a|area|link|img|iframe|script|form)\b", re.I)
-_META = re.compile(r"<(meta)\b", re.I)
-_TITLE = re.compile(r"<(title)\b", re.I)
+# What follows the name of a plain tag.  Every run ends at the next tag or quote, so broken markup takes linear time.
+_REST = r"(?:((?:[^<>'\"]++|\"[^\"]*+\"|'[^']*+'){0,8}+)>)?+"
+_ANY = re.compile(r"</?([a-z]\w*+)" + _REST, re.I)
+_LINKS = re.compile(r"<(a|area|link|img|iframe|script|form)\b" + _REST, re.I)
+_META = re.compile(r"<(meta)\b" + _REST, re.I)
+_TITLE = re.compile(r"<(title)\b" + _REST, re.I)
 _TITLE_END = re.compile(r"</title", re.I)
-_GAPS = re.compile(r"[^\S\n]+")
+# All runs of white space within a line but the single blank, which stays as it is.
+_GAPS = re.compile(r"(?: [^\S\n]|[^\S\n ])[^\S\n]*+")
 _LINES = re.compile(r" ?\n[ \n]*")
 _FIELD = re.compile(r"(?<![a-z-])([a-z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _ENDS = re.compile(r"\r?\n")
@@ -72,10 +75,15 @@ class _Ends:
     """Where tags of a page end, in time linear in the page however its markup is broken.
 
     A tag ends at the first ``>`` outside quotes.  From the back, each ``>``
-    and quote learns which ``>`` a tag that meets it next would end at.
+    and quote learns which ``>`` a tag that meets it next would end at; this is
+    done once a tag asks for it that is not plain.
     """
 
     def __init__(self, page: str):
+        self.page, self.at = page, None
+
+    def _read(self) -> None:
+        page = self.page
         self.at = [m.start() for m in _STOPS.finditer(page)]
         self.end = [-1] * (len(self.at) + 1)
         partner = {"'": -1, '"': -1}
@@ -89,18 +97,24 @@ class _Ends:
 
     def after(self, start: int) -> int:
         """The position of the ``>`` that ends a tag open at ``start``; -1 if it is never closed."""
+        if self.at is None:
+            self._read()
         return self.end[bisect_left(self.at, start)]
 
 
 def _tags(page: str, names: re.Pattern, ends: _Ends) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, lower-case name, what follows the name) of closed tags, left to right."""
-    free = 0
-    for m in names.finditer(page):
-        if m.start() >= free:
-            end = ends.after(m.end())
+    m = names.search(page)
+    while m:
+        name, rest = m.groups()
+        free = m.end()
+        if rest is None:
+            end = ends.after(free)
             if end >= 0:
-                free = end + 1
-                yield m.start(), free, m[1].lower(), page[m.end():end]
+                rest, free = page[free:end], end + 1
+        if rest is not None:
+            yield m.start(), free, name.lower(), rest
+        m = names.search(page, free)
 
 
 def visible_text(page: str) -> str:
@@ -108,7 +122,8 @@ def visible_text(page: str) -> str:
     page = _INVISIBLE.sub(" ", page)
     parts, at = [], 0
     for start, end, name, _ in _tags(page, _ANY, _Ends(page)):
-        parts.append(page[at:start])
+        if start > at:
+            parts.append(page[at:start])
         if name in _BLOCK_NAMES:
             parts.append("\n")
         at = end
@@ -174,7 +189,8 @@ def as_json(fields: list[tuple[str, str]]) -> dict[str, str | list[str]]:
 
 def header_value(value: object) -> str:
     """A value as one header line: control characters, line breaks above all, are percent-encoded."""
-    return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", str(value))
+    value = str(value)
+    return value if value.isprintable() else _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", value)
 
 
 def _record(kind: str, own: str, other: str, source: dict, content: str, block: bytes) -> bytes:

@@ -130,3 +130,15 @@ def test_a_line_break_in_a_url_forges_no_header(spark):
         fields, block = parse(bytes(r.record))
         assert fields["WARC-Type"] == kind and len(block) == int(fields["Content-Length"]) == r.content_length
         assert fields["WARC-Target-URI"] == "http://x.org/a%0D%0AWARC-Type: response%0D%0A%0D%0Aforged" and r.target_uri == url
+
+
+def test_plain_pages_need_no_list_of_ends(monkeypatch):
+    """Tags whose ends the pattern finds itself cost no second pass; the others still end where they did."""
+    asked = []
+    real = W._Ends._read
+    monkeypatch.setattr(W._Ends, "_read", lambda self: asked.append(self.page) or real(self))
+    page = "<title>t</title><p class='a>b'>x\t y  z<a href=\"/u\" rel=v>l</a><br/>"
+    assert W.visible_text(page) == "t\nx y zl"
+    assert W.page_metadata(page, "http://h/")["Links"] == [{"path": "A@/href", "url": "http://h/u"}]
+    assert asked == []
+    assert W.visible_text("<p a<b>x") == "x" and W.visible_text("<p " + "a='>' " * 20 + ">x") == "x" and len(asked) == 2
