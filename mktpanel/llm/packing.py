@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mktpanel.llm.common import materialize
+from mktpanel.llm.common import materialize, releasing, slices
 from mktpanel.llm.tokens import encoder, public_file
 
 SEQUENCE = 1024
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
+TEXTS_AT_ONCE = 5000
 PIECES_IN_GROUP = 250_000
 MIN_SALTS = 64
 
@@ -45,7 +46,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = END_ID, sequence: int = SEQ
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, spaced=True)
-        for batch in batches:
+        for batch in slices(batches, TEXTS_AT_ONCE):
             rows: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist()), strict=True):
                 ids += end
@@ -57,7 +58,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = END_ID, sequence: int = SEQ
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                                                  ["id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, _PIECE)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(releasing(run, encoders=True), _PIECE)
 
 
 def pack_histogram(counts: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[Pattern, int]]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mktpanel.llm.common import byte_texts, materialize
+from mktpanel.llm.common import byte_texts, materialize, releasing, slices
 from mktpanel.llm.components import components
 from mktpanel.llm.hamming import HOT_BUCKET, near_links
 
@@ -30,6 +30,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 SHINGLES_AT_ONCE = 65_536
+TEXTS_AT_ONCE = 2500
 
 
 def fingerprint(text: bytes | None, width: int = SHINGLE_WORDS) -> bytes:
@@ -56,11 +57,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  width: int = SHINGLE_WORDS) -> DataFrame:
     """One row (id, fp) per document; ``fp`` is the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, TEXTS_AT_ONCE):
             yield pa.RecordBatch.from_arrays([batch.column(0), _column(batch.column(1), width)], ["id", "fp"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("_t")) \
-               .mapInArrow(run, "id long, fp long")
+               .mapInArrow(releasing(run), "id long, fp long")
 
 
 def classes(fps: DataFrame, max_bits: int = MAX_BITS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
@@ -110,8 +111,8 @@ def _with_fingerprint(docs: DataFrame, width: int) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, TEXTS_AT_ONCE):
             yield pa.RecordBatch.from_arrays([*batch.columns, _column(batch.column(at), width)],
                                              [*batch.schema.names, "__fp"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mktpanel.llm.common import shared_dir
+from mktpanel.llm.common import releasing, shared_dir
 from mktpanel.llm.tokens import encoder, public_file
 
 BLOCK = 2048
@@ -290,7 +290,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h")
-    (rows.select("id", "text", F.spark_partition_id().alias("shard")).mapInArrow(run, _BLOCK_ROW)
+    (rows.select("id", "text", F.spark_partition_id().alias("shard")).mapInArrow(releasing(run, encoders=True), _BLOCK_ROW)
          .write.mode("overwrite").parquet(path))
 
 
@@ -322,7 +322,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                                                  ["shard", "doc_id", "inside", "n_tokens", "ids_crc32"])
 
     found = (blocks.repartition("shard").sortWithinPartitions("shard", "block")
-                   .mapInArrow(run, "shard long, doc_id long, inside long, n_tokens long, ids_crc32 long"))
+                   .mapInArrow(releasing(run), "shard long, doc_id long, inside long, n_tokens long, ids_crc32 long"))
     # One row per shard: the ids before it.
     sizes = blocks.groupBy("shard").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, c: s + c)).alias("n"))
     bases = sizes.select(F.col("shard").cast("long").alias("of"),
