@@ -31,6 +31,36 @@ def test_a_block_does_not_depend_on_its_neighbours():
     assert [T.encode_blocks([b], 4)[0] for b in data] == T.encode_blocks(data, 4)
 
 
+def test_an_id_is_one_step_of_the_model(monkeypatch):
+    data, steps, predict = blocks(), [], T._Model.predict
+    monkeypatch.setattr(T._Model, "predict", lambda *a: steps.append(1) or predict(*a))
+    coded = T.encode_blocks(data, 4)
+    longest = max(map(len, data))
+    assert len(steps) == longest
+    T.decode_blocks([(c, len(b)) for c, b in zip(coded, data)], 4)
+    assert len(steps) == 2 * longest
+    # The block's own ids cost little more than their entropy and their table.
+    counts = np.bincount(data[6])
+    share = counts[counts > 0] / len(data[6])
+    assert len(coded[6]) * 8 < -len(data[6]) * (share * np.log2(share)).sum() * 1.05 + 24 * len(share)
+
+
+def test_extreme_and_damaged_blocks():
+    rng = np.random.default_rng(1)
+    turns = np.tile(rng.permutation(5000), 3)
+    data = [b.astype(np.uint32) for b in (np.arange(65536), turns, np.array([0, 65535]), np.tile([7, 7, 9], 9000))]
+    coded = T.encode_blocks(data, 4)
+    back = T.decode_blocks([(c, len(b)) for c, b in zip(coded, data)], 4)
+    assert all(x.tolist() == y.tolist() for x, y in zip(data, back, strict=True))
+    packed = T._packed([blocks()[6], turns[:900].astype(np.uint32)], 4)
+    for which in range(2):
+        for at in rng.integers(T._HEAD.size, len(packed[which]) - 8, 60):
+            bad = [bytearray(x) for x in packed]
+            bad[which][at] ^= int(rng.integers(1, 256))
+            with pytest.raises(ValueError, match="checksum"):
+                T._unpacked([bytes(x) for x in bad])
+
+
 def test_damage_is_found():
     packed = bytearray(T._packed(blocks()[6:7], 4)[0])
     packed[40] ^= 1
